@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -59,18 +60,67 @@ def is_newly_listed(primary: Column, secondary: Column | None = None) -> Column:
     return numeric if secondary is None else numeric & (secondary == NOT_APPLICABLE)
 
 
-def fallback_match(left: DataFrame, right: DataFrame, first: str, second: str) -> DataFrame:
-    """Match on ``first``; rows that fail try ``second``. All left rows stay.
+# Parts over which rows without a partner are spread in a join.
+SPREAD = 16_384
 
-    ``right`` has both keys and further columns; where both sides have a column, the left
-    value stays. ``matched_on`` names the key that matched, null if none did.
+
+def fallback_match(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], matched_on: str | None = None, distinct: bool = False
+) -> DataFrame:
+    """Match on the first key; rows that fail try the next key, and so on. All left rows stay.
+
+    Both sides have the key columns; ``right`` adds its other columns, and where both sides have
+    a column the left value stays. Null keys match nothing. ``matched_on`` names a column for the
+    key that matched, null if none did. With ``distinct`` equal offers under a key count once.
+
+    First each row learns which of its keys exists, from the distinct keys of the right side.
+    Then one inner join fetches the partners under that key, with blank partners for the rows
+    that have none. So the left side is never branched and read again, rows without a key or
+    partner are spread evenly, and a hot key can be split on either side of the join.
     """
     extra = [c for c in right.columns if c not in left.columns]
-    by_first, rest = split_matches(left, right.select(column(first), *[column(c) for c in extra]), first)
-    by_second, rest = split_matches(rest, right.select(column(second), *[column(c) for c in extra]), second)
-    parts = [
-        by_first.withColumn("matched_on", F.lit(first)),
-        by_second.withColumn("matched_on", F.lit(second)),
-        rest.withColumn("matched_on", F.lit(None).cast("string")),
-    ]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    slots = range(len(keys))
+    candidates = F.array(
+        *[F.struct(F.lit(i).alias("slot"), column(k).cast("string").alias("key")) for i, k in enumerate(keys)]
+    )
+    offers = (
+        right.select(F.explode(candidates).alias("_offer"), *[column(c) for c in extra])
+        .filter("_offer.key IS NOT NULL")
+        .select(F.col("_offer.slot").alias("_slot"), F.col("_offer.key").alias("_key"), *[column(c) for c in extra])
+    )
+    if distinct:
+        offers = offers.distinct()
+    known = offers.select("_slot", "_key").distinct()
+
+    spread = F.pmod(F.xxhash64(*[column(c) for c in left.columns]), F.lit(SPREAD)).cast("string")
+    seen = left.withColumn("_spread", spread)
+    for i, k in enumerate(keys):
+        key = column(k).cast("string")
+        seen = (
+            seen.withColumn("_try_slot", F.when(key.isNull(), -1).otherwise(i))
+            .withColumn("_try_key", F.coalesce(key, F.col("_spread")))
+            .join(
+                known.select(
+                    F.col("_slot").alias("_try_slot"), F.col("_key").alias("_try_key"), F.lit(True).alias(f"_hit_{i}")
+                ),
+                ["_try_slot", "_try_key"],
+                "left",
+            )
+            .drop("_try_slot", "_try_key")
+        )
+    slot = F.coalesce(*[F.when(F.col(f"_hit_{i}"), F.lit(i)) for i in slots], F.lit(-1))
+    key = F.coalesce(
+        *[F.when(F.col(f"_hit_{i}"), column(k).cast("string")) for i, k in enumerate(keys)], F.col("_spread")
+    )
+    blanks = left.sparkSession.range(SPREAD).select(
+        F.lit(-1).alias("_slot"), F.col("id").cast("string").alias("_key")
+    )
+    partners = offers.unionByName(blanks, allowMissingColumns=True)
+    names = F.array(*[F.lit(k) for k in keys])
+    label = [] if matched_on is None else [F.when(F.col("_slot") >= 0, F.get(names, F.col("_slot"))).alias(matched_on)]
+    return (
+        seen.withColumn("_slot", slot)
+        .withColumn("_key", key)
+        .join(partners, ["_slot", "_key"])
+        .select(*[column(c) for c in [*left.columns, *extra]], *label)
+    )

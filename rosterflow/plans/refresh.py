@@ -15,20 +15,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterflow.functions.names import column
-from rosterflow.functions.text import (
-    NOT_APPLICABLE,
-    NOT_ASSIGNED,
-    blank_nulls,
-    number_key,
-)
-from rosterflow.operators.columns import first_columns, keep_right_of, rename_present
-from rosterflow.operators.matching import is_newly_listed, split_matches
-from rosterflow.operators.ordering import distinct_rows, sort_rows, union_by_name
+from rosterflow.functions.text import NOT_APPLICABLE, NOT_ASSIGNED, blank_nulls, number_key
+from rosterflow.operators.columns import keep_right_of, rename_present
+from rosterflow.operators.matching import fallback_match, is_newly_listed
+from rosterflow.operators.ordering import distinct_rows, sort_rows
 from rosterflow.operators.rules import add_formulas, prefix_labels
 from rosterflow.sources.grid import grid_to_frame
 from rosterflow.sources.sql import read_sql_files
 
-_KEY = "_refresh_key"
+_FIRST, _SECOND, _MATCHED = "_first_key", "_second_key", "_matched_on"
 
 
 def refresh_report(
@@ -61,29 +56,26 @@ def refresh_report(
     _check_columns(query, report, notes, primary, secondary)
     use_secondary = bool(secondary) and secondary in report.columns
 
-    kept = blank_nulls(keep_right_of(report, [primary, secondary] if use_secondary else [primary], len(report.columns) - len(notes)))
-    note_columns = [column(c) for c in notes]
+    identifiers = [primary, secondary] if use_secondary else [primary]
     fresh = distinct_rows(blank_nulls(query))
+    kept = blank_nulls(keep_right_of(report, identifiers, len(report.columns) - len(notes)))
 
-    by_primary = kept.select(_primary_key(column(primary), blank_keys_match).alias(_KEY), *note_columns)
-    matched, rest = split_matches(
-        fresh.withColumn(_KEY, _primary_key(column(primary), blank_keys_match)), distinct_rows(by_primary), _KEY
-    )
-    rest = first_columns(rest.drop(_KEY), width)
-    if width < len(query.columns):
-        rest = distinct_rows(rest)
-    parts = [matched]
-
+    keys = {_FIRST: _primary_key(column(primary), blank_keys_match)}
+    fresh_keys = dict(keys)
     if use_secondary:
-        kept = kept.filter(column(secondary) != NOT_APPLICABLE)
-        by_secondary = kept.select(_secondary_key(column(secondary), blank_keys_match).alias(_KEY), *note_columns)
-        newly_listed = is_newly_listed(column(primary), column(secondary))
-        key = F.when(~newly_listed, _secondary_key(column(secondary), blank_keys_match))
-        again, rest = split_matches(rest.withColumn(_KEY, key), distinct_rows(by_secondary), _KEY)
-        parts.append(again)
-
-    combined = union_by_name(*parts, rest).select([column(c) for c in [*query.columns, *notes]])
-    refreshed = blank_nulls(combined)
+        keys[_SECOND] = F.when(
+            column(secondary) != NOT_APPLICABLE, _secondary_key(column(secondary), blank_keys_match)
+        )
+        fresh_keys[_SECOND] = F.when(~is_newly_listed(column(primary), column(secondary)), keys[_SECOND])
+    offers = kept.select(*[key.alias(k) for k, key in keys.items()], *[column(c) for c in notes])
+
+    combined = fallback_match(fresh.withColumns(fresh_keys), offers, list(keys), _MATCHED, distinct=True)
+    if width < len(query.columns):
+        # Rows matched on the primary identifier keep all query columns, the others the first ones.
+        by_primary = F.col(_MATCHED).eqNullSafe(F.lit(_FIRST))
+        cut = {c: F.when(by_primary, column(c)) for c in query.columns[width:]}
+        combined = distinct_rows(combined.withColumns(cut))
+    refreshed = blank_nulls(combined.select([column(c) for c in [*query.columns, *notes]]))
     return sort_rows(refreshed, sort_by, ascending) if sort_by else refreshed
 
 

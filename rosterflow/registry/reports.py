@@ -276,7 +276,7 @@ def match_fallback(spark: SparkSession, sf: str) -> DataFrame:
         F.expr("timestamp_ntz '1998-01-01' + make_interval(0, 0, 0, cast(c_custkey as int))").alias("day"),
         "c_name",
     )
-    return fallback_match(wanted, offers, "customer_key", "day").select("o_orderkey", "c_name", "matched_on")
+    return fallback_match(wanted, offers, ["customer_key", "day"], "matched_on").select("o_orderkey", "c_name", "matched_on")
 
 
 @query(
