@@ -1,6 +1,6 @@
 """Registered queries and their checks."""
 
-from rosterflow.registry import reports
+from rosterflow.registry import columns, figures, files, reports, templates
 from rosterflow.registry.base import CHECKS, QUERIES
 
-__all__ = ["CHECKS", "QUERIES", "reports"]
+__all__ = ["CHECKS", "QUERIES", "columns", "figures", "files", "reports", "templates"]
