@@ -109,24 +109,16 @@ def type_text_columns(df: DataFrame) -> DataFrame:
     names = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     if not names:
         return df
+    # Per value: 0 whole number, 1 other number, 2 text. The largest of a column decides.
     checks = []
     for i, name in enumerate(names):
-        text = F.btrim(column(name))
-        filled = text != ""
-        whole = text.rlike(r"^[+-]?\d+$") & text.try_cast("bigint").isNotNull()
-        checks += [
-            F.count_if(filled).alias(f"filled_{i}"),
-            F.count_if(filled & whole).alias(f"whole_{i}"),
-            F.count_if(filled & is_numeric_text(text)).alias(f"number_{i}"),
-        ]
+        value = F.btrim(column(name))
+        # The pattern comes first because a cast that fails is far dearer than a pattern that fails.
+        whole = value.rlike(r"^[+-]?\d+$") & ((F.length(value) <= 18) | value.try_cast("bigint").isNotNull())
+        kind = F.when(value == "", None).when(whole, 0).when(is_numeric_text(value), 1)
+        checks.append(F.max(F.when(value.isNotNull(), kind.otherwise(2))).alias(f"kind_{i}"))
     seen = df.agg(*checks).first()
-    kinds = {}
-    for i, name in enumerate(names):
-        filled = seen[f"filled_{i}"]
-        if filled and seen[f"whole_{i}"] == filled:
-            kinds[name] = "bigint"
-        elif filled and seen[f"number_{i}"] == filled:
-            kinds[name] = "double"
+    kinds = {name: ("bigint", "double")[kind] for name, kind in zip(names, seen, strict=True) if kind in (0, 1)}
 
     def typed(name: str) -> Column:
         kind = kinds.get(name)

@@ -20,13 +20,11 @@ def rule_violations(
     checked in one scan.
     """
     allowed = dict(rules)
-    cells = [
-        F.when(
-            ~column(c).isin(list(values)) & (column(c) != ""),
-            F.struct(F.lit(c).alias("column_name"), column(c).cast("string").alias("value")),
-        )
-        for c, values in allowed.items()
-    ]
+    cells = []
+    for name, values in allowed.items():
+        value = column(name).cast("string")
+        cell = F.struct(F.lit(name).alias("column_name"), value.alias("value"))
+        cells.append(F.when(~value.isin([str(v) for v in values]) & (value != ""), cell))
     broken = F.filter(F.array(*cells), lambda cell: cell.isNotNull())
     return df.select(*[column(c) for c in keep], F.explode(broken).alias("cell")).select(
         *[column(c) for c in keep], "cell.column_name", "cell.value"

@@ -91,6 +91,6 @@ def publish_report(df: DataFrame, report: str, max_columns: int | None = None, k
 
 
 def _versions(spark: SparkSession, schema: str, name: str) -> list[int]:
-    tables = spark.catalog.listTables(schema or None, f"{name.lower()}__v*")
-    found = [re.fullmatch(rf"{re.escape(name.lower())}__v(\d+)", t.name.lower()) for t in tables]
+    tables = [t.name.lower() for t in spark.catalog.listTables(schema or None) if not t.isTemporary]
+    found = [re.fullmatch(rf"{re.escape(name.lower())}__v(\d+)", t) for t in tables]
     return [int(m.group(1)) for m in found if m]

@@ -15,11 +15,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterflow.functions.names import column
-from rosterflow.functions.text import NOT_APPLICABLE, NOT_ASSIGNED, blank_nulls, number_key
+from rosterflow.functions.text import NOT_APPLICABLE, NOT_ASSIGNED, blank_nulls, blank_sentinel, number_key
 from rosterflow.operators.columns import keep_right_of, rename_present
 from rosterflow.operators.matching import fallback_match, is_newly_listed
 from rosterflow.operators.ordering import distinct_rows, sort_rows
-from rosterflow.operators.rules import add_formulas, prefix_labels
+from rosterflow.operators.rules import add_formulas, prefix_labels, rule_violations
 from rosterflow.sources.grid import grid_to_frame
 from rosterflow.sources.sql import read_sql_files
 
@@ -59,6 +59,7 @@ def refresh_report(
     identifiers = [primary, secondary] if use_secondary else [primary]
     fresh = distinct_rows(blank_nulls(query))
     kept = blank_nulls(keep_right_of(report, identifiers, len(report.columns) - len(notes)))
+    kept = kept.withColumn(primary, blank_sentinel(column(primary)))
 
     keys = {_FIRST: _primary_key(column(primary), blank_keys_match)}
     fresh_keys = dict(keys)
@@ -125,6 +126,7 @@ class ReportSpec:
     ascending: Sequence[bool] | bool = True
     formulas: Mapping[str, str] = field(default_factory=dict)
     labels: Mapping[str, Sequence[tuple[str, str, str]]] = field(default_factory=dict)
+    rules: Sequence[tuple[str, Sequence[str]]] = ()
     named: Mapping[str, Any] | None = None
 
 
@@ -154,3 +156,17 @@ def refresh_reports(
         )
         refreshed[name] = prefix_labels(add_formulas(df, spec.formulas), spec.labels)
     return refreshed
+
+
+def check_reports(
+    refreshed: Mapping[str, DataFrame], specs: Mapping[str, ReportSpec], identifier: str | None = None
+) -> dict[str, DataFrame]:
+    """Cells outside the allowed values, for each report with rules.
+
+    Each row has the identifier (by default the first column), the column and the value.
+    """
+    return {
+        name: rule_violations(df, specs[name].rules, [identifier or df.columns[0]])
+        for name, df in refreshed.items()
+        if specs[name].rules
+    }

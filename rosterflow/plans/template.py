@@ -75,7 +75,8 @@ def collect_entries(
     entity's template are collected, so a map is never larger than the template's list of
     placeholders, however many rows the entity has.
     """
-    first = entries.groupBy(column(entity), "token").agg(F.min(F.struct("seq", "value")).alias("first"))
+    used = entries.join(slots.select("token").distinct(), "token", "left_semi")
+    first = used.groupBy(column(entity), "token").agg(F.min(F.struct("seq", "value")).alias("first"))
     needed = first.join(entities.select(column(entity), column(template)), entity).join(
         slots, [template, "token"], "left_semi"
     )
@@ -97,7 +98,7 @@ def fill_templates(
 
     ``entities`` has one row per entity with the template it uses, ``templates`` one row per
     template. ``{school}`` becomes the entity itself, or its ``label`` column. A placeholder
-    without a value stays as it is.
+    without a value stays as it is; an entity whose template does not exist gets null.
     """
     slots = template_slots(templates, template, text)
     collected = collect_entries(entries, entities, slots, entity, template)
@@ -106,7 +107,7 @@ def fill_templates(
     pairs = F.coalesce(F.map_entries("entries"), F.array())
     filled = F.aggregate(pairs, start, lambda so_far, e: F.replace(so_far, e["key"], e["value"]))
     return (
-        entities.join(templates.select(column(template), column(text)), template)
+        entities.join(templates.select(column(template), column(text)), template, "left")
         .join(collected, entity, "left")
         .select(column(entity), column(template), filled.alias("filled_text"))
     )
