@@ -60,15 +60,20 @@ def read_csv(
     force_string: bool = False,
     schema: T.StructType | None = None,
     line_sep: str | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Delimited files with a header row.
 
     Types are guessed from all values: whole number, number, truth value or text. Dates stay
     text. With ``force_string`` every column is text, and with a ``schema`` nothing is guessed;
-    either saves the guessing pass over the files. Empty fields are null.
+    either saves the guessing pass over the files. Empty fields are null. A row with too few or
+    too many fields fails the read. ``multi_line`` allows line breaks inside quotes, at the
+    price of one task per file.
     """
     use_java_charsets(spark, encoding)
-    reader = spark.read.options(sep=sep, encoding=encoding, header=True, mode="FAILFAST", **CSV_AS_IS)
+    reader = spark.read.options(
+        sep=sep, encoding=encoding, header=True, multiLine=multi_line, mode="FAILFAST", **CSV_AS_IS
+    )
     if line_sep is not None:
         reader = reader.option("lineSep", line_sep)
     if schema is None:
@@ -83,12 +88,14 @@ def _plain_type(guess: T.DataType) -> T.DataType:
     return guess if isinstance(guess, (T.DoubleType, T.BooleanType)) else T.StringType()
 
 
-def read_caret(spark: SparkSession, path: str, names: Sequence[str], encoding: str = "UTF-8") -> DataFrame:
+def read_caret(
+    spark: SparkSession, path: str, names: Sequence[str], encoding: str = "UTF-8", multi_line: bool = False
+) -> DataFrame:
     """Caret-separated files without a header, all text, empty fields null."""
     use_java_charsets(spark, encoding)
     return (
         spark.read.schema(text_schema(names))
-        .options(sep=CARET, encoding=encoding, header=False, mode="FAILFAST", **CSV_AS_IS)
+        .options(sep=CARET, encoding=encoding, header=False, multiLine=multi_line, mode="FAILFAST", **CSV_AS_IS)
         .csv(path)
     )
 

@@ -20,9 +20,9 @@ def grid_to_frame(
     if header is None:
         raise ValueError(f"the grid has no row {header_row}")
     df = grid.filter(F.col(row_no) > header_row).select(
-        [F.coalesce(F.get(cells, F.lit(i)), F.lit("")).alias(name) for i, name in enumerate(header[0])]
+        [F.coalesce(F.get(cells, F.lit(i)), F.lit("")).alias(f"cell_{i}") for i in range(len(header[0]))]
     )
-    return type_text_columns(df) if typed else df
+    return (type_text_columns(df) if typed else df).toDF(*header[0])
 
 
 def frame_to_grid(df: DataFrame, row_no: str, header_row: int = 1) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def explode_pages(pages: DataFrame, body: str, item_schema: str) -> DataFrame:
@@ -12,17 +13,13 @@ def explode_pages(pages: DataFrame, body: str, item_schema: str) -> DataFrame:
     ``item_schema`` is a DDL field list such as ``id BIGINT, name STRING``. A page that is not
     valid JSON fails the query; it never drops out silently.
     """
-    items = F.from_json(F.col(body), f"array<struct<{_struct_fields(item_schema)}>>", {"mode": "FAILFAST"})
+    items = F.from_json(F.col(body), T.ArrayType(T.StructType.fromDDL(item_schema)), {"mode": "FAILFAST"})
     rest = [F.col(c) for c in pages.columns if c != body]
     return pages.select(*rest, F.posexplode(items).alias("_at", "_item")).select(
         *rest, (F.col("_at") + 1).alias("item_no"), "_item.*"
     )
 
 
-def _struct_fields(ddl: str) -> str:
-    return ", ".join(":".join(field.strip().split(" ", 1)) for field in ddl.split(","))
-
-
 def read_paged_json(
     spark: SparkSession, path: str, item_schema: str, page_no: Column | None = None, one_page_per_line: bool = False
 ) -> DataFrame:
