@@ -35,6 +35,17 @@ def with_match_flag(
     )
 
 
+def distinct_keys(df: DataFrame, *keys: str) -> DataFrame:
+    """The distinct keys, not yet partitioned by key.
+
+    They are made distinct together with a hash of themselves, so a join on the keys has to
+    shuffle them. Keys are narrow, so that is cheap, and it pays: adaptive execution splits a
+    hot key of the other join side only where both sides come straight out of a shuffle.
+    """
+    columns = [column(k) for k in keys]
+    return df.select(*columns, F.xxhash64(*columns).alias("_mix")).distinct().drop("_mix")
+
+
 def split_matches(left: DataFrame, right: DataFrame, on: str) -> tuple[DataFrame, DataFrame]:
     """Left rows with their partners' columns, and the left rows without a partner.
 
@@ -46,7 +57,7 @@ def split_matches(left: DataFrame, right: DataFrame, on: str) -> tuple[DataFrame
     keyed = left.filter(column(on).isNotNull())
     partners = right.filter(column(on).isNotNull())
     matched = keyed.join(partners.select(column(on), *[column(c) for c in extra]), on, "inner")
-    unmatched = keyed.join(partners.select(column(on)).distinct(), on, "left_anti")
+    unmatched = keyed.join(distinct_keys(partners, on), on, "left_anti")
     order = [column(c) for c in left.columns]
     return (
         matched.select(*order, *[column(c) for c in extra]),
@@ -90,7 +101,7 @@ def fallback_match(
     )
     if distinct:
         offers = offers.distinct()
-    known = offers.select("_slot", "_key").distinct()
+    known = distinct_keys(offers, "_slot", "_key")
 
     spread = F.pmod(F.xxhash64(*[column(c) for c in left.columns]), F.lit(SPREAD)).cast("string")
     seen = left.withColumn("_spread", spread)

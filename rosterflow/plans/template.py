@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from rosterflow.functions.names import column
 from rosterflow.functions.text import placeholder
 from rosterflow.operators.latest import latest_rows
+from rosterflow.operators.matching import distinct_keys
 
 # The category and goal with placeholders of their own, and the entity placeholder.
 GOAL_CATEGORY = "Goal"
@@ -75,7 +76,7 @@ def collect_entries(
     entity's template are collected, so a map is never larger than the template's list of
     placeholders, however many rows the entity has.
     """
-    used = entries.join(slots.select("token").distinct(), "token", "left_semi")
+    used = entries.join(distinct_keys(slots, "token"), "token", "left_semi")
     first = used.groupBy(column(entity), "token").agg(F.min(F.struct("seq", "value")).alias("first"))
     needed = first.join(entities.select(column(entity), column(template)), entity).join(
         slots, [template, "token"], "left_semi"

@@ -8,11 +8,14 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Runtime settings the library relies on. Partition counts are left to the cluster:
-# adaptive execution coalesces small shuffle partitions and splits skewed join partitions.
+# adaptive execution coalesces small shuffle partitions and splits skewed join partitions. Join
+# sides are broadcast, or hashed instead of sorted, only by their measured size.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.sql.session.timeZone": "UTC",
 }
 

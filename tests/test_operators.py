@@ -305,3 +305,50 @@ def test_prefix_labels_first_rule_wins(spark, rows):
 def test_formulas_chain(spark, rows):
     got = add_formulas(spark.createDataFrame([(1, 2)], "a int, b int"), {"c": "a + b", "a": "c * 10"})
     assert rows(got) == [(30, 2, 3)]
+
+
+# Skew
+
+
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+
+@pytest.fixture
+def shuffled_joins(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_a_hot_key_is_split(spark, shuffled_joins):
+    left = spark.range(200_000).selectExpr("if(id % 3 = 0, -1L, id) AS k", "sha2(cast(id AS string), 256) AS v")
+    right = spark.range(-2, 1000).selectExpr("id AS k", "id * 2 AS w")
+    matched, unmatched = split_matches(left, right, "k")
+    assert "skew=true" in final_plan(matched)
+    assert "skew=true" in final_plan(unmatched.select("k", F.length("v")))
+    looked_up = final_plan(fallback_match(left, right, ["k"]).select("k", "w", F.length("v")))
+    assert looked_up.count("skew=true") == 2
+    assert "skew=true" in final_plan(with_match_flag(left, right, "k").select("k", "w", F.length("v")))
+
+
+def test_rows_without_a_key_are_spread(spark, shuffled_joins):
+    left = spark.range(100_000).selectExpr("if(id % 3 = 0, NULL, id) AS k", "id AS v")
+    got = fallback_match(left, spark.range(5).selectExpr("id AS k", "id AS w"), ["k"])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sum(sizes) == 100_000 and max(sizes) < 20_000
