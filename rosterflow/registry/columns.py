@@ -82,8 +82,9 @@ def sql_files_combined(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     """
-SELECT o_orderpriority, count(*) AS order_count, strftime(max(o_orderdate), '%Y-%m-%d') AS last_date FROM orders
-WHERE o_orderkey >= 100 GROUP BY o_orderpriority
+SELECT o_orderpriority, CAST(count(*) AS VARCHAR) AS order_count, strftime(max(o_orderdate), '%Y-%m-%d') AS last_date, '' AS all_orders
+FROM orders WHERE o_orderkey >= 100 GROUP BY o_orderpriority
+UNION ALL SELECT '', '', '', CAST(count(*) AS VARCHAR) FROM orders
 """
 )
 def tables_by_name(spark: SparkSession, sf: str) -> DataFrame:
@@ -93,15 +94,14 @@ def tables_by_name(spark: SparkSession, sf: str) -> DataFrame:
     execute(spark, create_table_sql(name, schema, "orders that were copied", data=orders))
     read = read_table(spark, name, schema)
     orders.select(*read.columns).write.insertInto(f"{schema}.{name}")
-    tables = SchemaTables(spark, schema)
-    assert name in dir(tables)
-    kept = getattr(tables, name).filter("o_orderkey >= 100")
-    return read_sql(
+    by_attribute = getattr(SchemaTables(spark, schema), name).agg(F.count(F.lit(1)).alias("all_orders"))
+    by_sql = read_sql(
         spark,
         "SELECT o_orderpriority, count(*) AS order_count, date_format(max(o_orderdate), 'yyyy-MM-dd') AS last_date "
-        f"FROM {schema}.{name} WHERE o_orderkey >= :low GROUP BY o_orderpriority",
-        {"low": 100},
-    ).join(kept.select("o_orderpriority").distinct(), "o_orderpriority", "left_semi")
+        "FROM IDENTIFIER(:orders) WHERE o_orderkey >= :low GROUP BY o_orderpriority",
+        {"low": 100, "orders": f"{schema}.{name}"},
+    )
+    return blank_nulls(union_by_name(by_sql, by_attribute))
 
 
 @query(
@@ -157,14 +157,14 @@ FROM orders a JOIN orders b ON a.o_orderkey = b.o_orderkey
 def dedup_columns(spark: SparkSession, sf: str) -> DataFrame:
     """Orders beside themselves under clashing names."""
     orders = table(spark, sf, "orders")
-    left = orders.select("o_orderkey", F.col("o_custkey").alias("Customer No."), F.col("o_orderstatus").alias("State"))
+    left = orders.select("o_orderkey", F.col("o_custkey").alias("Customer No"), F.col("o_orderstatus").alias("State"))
     right = orders.select(
         "o_orderkey",
-        F.col("o_custkey").alias("customer-no "[:-1]),
+        F.col("o_custkey").alias("customer-no"),
         F.col("o_totalprice").alias("2nd Price"),
         F.col("o_orderpriority").alias("state"),
     )
-    return clean_columns(left.withColumnRenamed("Customer No.", "Customer No").join(right, "o_orderkey"))
+    return clean_columns(left.join(right, "o_orderkey"))
 
 
 @query(
@@ -247,14 +247,22 @@ def number_keys(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query("SELECT event_id, user_id, event_type, value FROM events WHERE event_type <> 'error'")
+@query(
+    """
+SELECT 'rollover day' AS day, event_id, user_id, event_type, value FROM events WHERE event_type <> 'error'
+UNION ALL SELECT 'day after', event_id, user_id, event_type, value FROM events
+"""
+)
 def skip_code_until(spark: SparkSession, sf: str) -> DataFrame:
-    """The code is skipped on the rollover day and kept from the day after."""
+    """The code is skipped up to the rollover day and kept from the day after."""
     events = table(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
     rollover = datetime.date(2024, 1, 15)
-    before = dates.skip_code_until(events, "event_type", "error", rollover, rollover)
-    after = dates.skip_code_until(events, "event_type", "error", rollover + datetime.timedelta(days=1), rollover)
-    return before.join(after.select("event_id"), "event_id", "left_semi")
+    days = {"rollover day": rollover, "day after": rollover + datetime.timedelta(days=1)}
+    kept = [
+        dates.skip_code_until(events, "event_type", "error", day, rollover).withColumn("day", F.lit(name))
+        for name, day in days.items()
+    ]
+    return union_by_name(*kept)
 
 
 @query(

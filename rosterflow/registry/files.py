@@ -204,7 +204,7 @@ def stream_landing(spark: SparkSession, sf: str) -> DataFrame:
         "event_id", "user_id", F.col("event_type").alias("Event Type"), "value"
     )
     schema = "event_id BIGINT, user_id BIGINT, `Event Type` STRING, value DOUBLE"
-    for drop in ("value < 10", "value >= 10"):
+    for drop in ("value < 10", "value >= 10 OR value IS NULL"):
         events.filter(drop).write.mode("append").csv(f"{folder}/in", header=True)
         landed = land_new_files(spark, f"{folder}/in", schema, f"{folder}/out", f"{folder}/checkpoint")
     return landed
