@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from rosterflow.functions.names import column
 from rosterflow.functions.text import NOT_APPLICABLE, is_numeric_text
+from rosterflow.operators.ordering import union_by_name
 
 
 def with_match_flag(
@@ -17,22 +18,20 @@ def with_match_flag(
 ) -> DataFrame:
     """Left equi-join that adds whether each row found a partner.
 
-    Columns both sides have keep the left value. No join hint is given: adaptive execution
-    broadcasts the right side only when its measured size is below the session's threshold,
-    and splits hot keys of the left side otherwise.
+    Columns both sides have keep the left value. Matched and unmatched rows come from an inner
+    and an anti join (see ``split_matches``), because a left join cannot split a hot key of its
+    right side.
     """
     keys = [on] if isinstance(on, str) else list(on)
+    parts = [column(k).alias(f"k{i}") for i, k in enumerate(keys)]
+    key = F.struct(*parts) if null_keys_match or len(keys) > 1 else column(keys[0])
+    if not null_keys_match:
+        key = F.when(reduce(Column.__and__, [column(k).isNotNull() for k in keys]), key)
     extra = [c for c in right.columns if c not in left.columns]
-    slim = right.select(
-        *[column(k).alias(f"_right_{i}") for i, k in enumerate(keys)],
-        *[column(c) for c in extra],
-        F.lit(True).alias("_hit"),
-    )
-    pairs = [(column(k), F.col(f"_right_{i}")) for i, k in enumerate(keys)]
-    condition = reduce(Column.__and__, [a.eqNullSafe(b) if null_keys_match else a == b for a, b in pairs])
-    return left.join(slim, condition, "left").select(
-        *[column(c) for c in left.columns + extra], F.coalesce(F.col("_hit"), F.lit(False)).alias(flag)
-    )
+    offers = right.select(key.alias("_pair"), *[column(c) for c in extra])
+    matched, unmatched = split_matches(left.withColumn("_pair", key), offers, "_pair")
+    flagged = union_by_name(matched.withColumn(flag, F.lit(True)), unmatched.withColumn(flag, F.lit(False)))
+    return flagged.select(*[column(c) for c in [*left.columns, *extra, flag]])
 
 
 def distinct_keys(df: DataFrame, *keys: str) -> DataFrame:

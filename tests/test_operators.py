@@ -46,6 +46,11 @@ def test_match_flag_fans_out_and_keeps_left_values(spark, rows):
         [("a", 1, "x", True), ("a", 1, "y", True), ("b", 2, None, False), (None, 3, None, False)], key=repr
     )
     assert (None, 3, "z", True) in rows(with_match_flag(left, right, ["k"], "hit", null_keys_match=True))
+    pairs = spark.createDataFrame([("a", 1, "p"), (None, 3, "q"), ("b", None, "r")], "k string, v long, w string")
+    assert rows(with_match_flag(left, pairs, ["k", "v"]), "k", "v", "w", "matched") == sorted(
+        [("a", 1, "p", True), ("b", 2, None, False), (None, 3, None, False)], key=repr
+    )
+    assert (None, 3, "q", True) in rows(with_match_flag(left, pairs, ["k", "v"], null_keys_match=True))
 
 
 def test_match_flag_with_odd_names(spark, rows):
@@ -340,7 +345,9 @@ def test_a_hot_key_is_split(spark, shuffled_joins):
     assert "skew=true" in final_plan(unmatched.select("k", F.length("v")))
     looked_up = final_plan(fallback_match(left, right, ["k"]).select("k", "w", F.length("v")))
     assert looked_up.count("skew=true") == 2
-    assert "skew=true" in final_plan(with_match_flag(left, right, "k").select("k", "w", F.length("v")))
+    assert final_plan(with_match_flag(left, right, "k").select("k", "w", F.length("v"))).count("skew=true") == 2
+    turned = with_match_flag(right, left, "k").select("k", "w", F.length("v"))
+    assert "skew=true" in final_plan(turned)
 
 
 def test_rows_without_a_key_are_spread(spark, shuffled_joins):
