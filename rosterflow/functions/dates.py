@@ -30,8 +30,8 @@ def parse_submitted(text: Column) -> Column:
 
 
 def iso_date(moment: Column) -> Column:
-    """ISO date text of a date or timestamp."""
-    return F.date_format(moment, "yyyy-MM-dd")
+    """ISO date text of a date or timestamp; a timestamp without zone stays clear of zone rules."""
+    return moment.cast("date").cast("string")
 
 
 def clamp_to(day: Column, as_of: datetime.date) -> Column:

@@ -111,13 +111,14 @@ def type_text_columns(df: DataFrame) -> DataFrame:
         return df
     # Per value: 0 whole number, 1 other number, 2 text. The largest of a column decides.
     checks = []
-    for i, name in enumerate(names):
-        value = F.btrim(column(name))
+    for i in range(len(names)):
+        value = F.col(f"value_{i}")
         # The pattern comes first because a cast that fails is far dearer than a pattern that fails.
         whole = value.rlike(r"^[+-]?\d+$") & ((F.length(value) <= 18) | value.try_cast("bigint").isNotNull())
         kind = F.when(value == "", None).when(whole, 0).when(is_numeric_text(value), 1)
         checks.append(F.max(F.when(value.isNotNull(), kind.otherwise(2))).alias(f"kind_{i}"))
-    seen = df.agg(*checks).first()
+    trimmed = df.select([F.btrim(column(name)).alias(f"value_{i}") for i, name in enumerate(names)])
+    seen = trimmed.agg(*checks).first()
     kinds = {name: ("bigint", "double")[kind] for name, kind in zip(names, seen, strict=True) if kind in (0, 1)}
 
     def typed(name: str) -> Column:

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rosterflow.functions.names import column
 
@@ -43,12 +44,22 @@ def row_range(df: DataFrame, key: str, start: int = 0, end: int | None = None) -
     """
     if start < 0 or (end is not None and end < start):
         raise ValueError("need 0 <= start <= end")
+    kind = df.select(column(key)).schema[0].dataType
     first = _key_at(df, key, start)
     if first is None or end == start:
         return df.filter(F.lit(False))
-    rows = df.filter(column(key) >= F.lit(first)) if start else df
+    rows = df.filter(column(key) >= _bound(first, kind)) if start else df
     stop = None if end is None else _key_at(df, key, end)
-    return rows if stop is None else rows.filter(column(key) < F.lit(stop))
+    return rows if stop is None else rows.filter(column(key) < _bound(stop, kind))
+
+
+def _bound(value, kind: T.DataType) -> Column:
+    """A found key as a literal of the key's type. Timestamps travel as microseconds, clear of time zones."""
+    if isinstance(kind, T.TimestampType):
+        return F.timestamp_micros(F.lit(value))
+    if isinstance(kind, T.TimestampNTZType):
+        return F.lit(value.isoformat(sep=" ")).cast(kind)
+    return F.lit(value)
 
 
 def _key_at(df: DataFrame, key: str, position: int):
@@ -57,7 +68,11 @@ def _key_at(df: DataFrame, key: str, position: int):
     Each pass counts the keys below a few dozen sampled cut points in one aggregate without a
     sort and goes on between the two cut points around the position.
     """
-    keys = df.select(column(key).alias("k"))
+    kind = df.select(column(key)).schema[0].dataType
+    if isinstance(kind, T.TimestampType):
+        keys, kind = df.select(F.unix_micros(column(key)).alias("k")), T.LongType()
+    else:
+        keys = df.select(column(key).alias("k"))
     rows, total = keys.agg(F.count(F.lit(1)), F.count("k")).first()
     if rows > total:
         raise ValueError(f"key {key} has nulls")
@@ -68,14 +83,14 @@ def _key_at(df: DataFrame, key: str, position: int):
         # One uniformly drawn key per hash class, whatever the type of the key.
         drawn = keys.groupBy(F.pmod(F.xxhash64("k"), F.lit(CUTS))).agg(F.min_by("k", F.xxhash64("k", F.lit(total))))
         cuts = sorted({row[1] for row in drawn.collect()})
-        below = keys.agg(*[F.count_if(F.col("k") < F.lit(c)).alias(f"c{i}") for i, c in enumerate(cuts)]).first()
+        below = keys.agg(*[F.count_if(F.col("k") < _bound(c, kind)).alias(f"c{i}") for i, c in enumerate(cuts)]).first()
         low = max((i for i, n in enumerate(below) if n <= skip), default=None)
         high = min((i for i, n in enumerate(below) if n > skip), default=None)
         narrowed = keys
         if low is not None:
-            narrowed = narrowed.filter(F.col("k") >= F.lit(cuts[low]))
+            narrowed = narrowed.filter(F.col("k") >= _bound(cuts[low], kind))
         if high is not None:
-            narrowed = narrowed.filter(F.col("k") < F.lit(cuts[high]))
+            narrowed = narrowed.filter(F.col("k") < _bound(cuts[high], kind))
         dropped = 0 if low is None else below[low]
         remaining = (total if high is None else below[high]) - dropped
         if remaining == total:

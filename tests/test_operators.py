@@ -185,18 +185,24 @@ def test_sort_splits_a_frequent_value(spark):
 
 
 @pytest.mark.parametrize("small", [10, 1_000_000])
-@pytest.mark.parametrize("kind", ["bigint", "string", "timestamp_ntz"])
+@pytest.mark.parametrize("kind", ["bigint", "string", "timestamp_ntz", "timestamp"])
 def test_row_range(spark, monkeypatch, small, kind):
     monkeypatch.setattr(ordering, "SMALL_RANGE", small)
+    monkeypatch.setattr(ordering, "CUTS", 8)
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
     key = {
         "bigint": "id * 37 % 1009",
         "string": "lpad(cast(id * 37 % 1009 as string), 5, '0')",
-        "timestamp_ntz": "timestamp_ntz '2024-01-01' + make_dt_interval(id * 37 % 1009)",
+        "timestamp_ntz": "timestamp_ntz '2024-11-03' + make_dt_interval(0, 0, id * 37 % 1009)",
+        "timestamp": "timestamp '2024-11-03' + make_dt_interval(0, 0, id * 37 % 1009)",
     }[kind]
     df = spark.range(1009).selectExpr(f"{key} AS k", "id * 37 % 1009 AS place")
-    for start, end in ((0, None), (0, 10), (100, 300), (999, 1009), (1000, None), (1008, 2000), (5, 5), (1009, None)):
-        got = sorted(r.place for r in row_range(df, "k", start, end).collect())
-        assert got == list(range(1009))[start:end], (start, end)
+    try:
+        for start, end in ((0, None), (0, 10), (100, 300), (999, 1009), (1008, 2000), (5, 5), (1009, None)):
+            got = sorted(r.place for r in row_range(df, "k", start, end).collect())
+            assert got == list(range(1009))[start:end], (start, end)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
 def test_row_range_checks_its_key(spark, monkeypatch):
