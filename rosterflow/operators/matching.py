@@ -80,8 +80,9 @@ def fallback_match(
     """Match on the first key; rows that fail try the next key, and so on. All left rows stay.
 
     Both sides have the key columns; ``right`` adds its other columns, and where both sides have
-    a column the left value stays. Null keys match nothing. ``matched_on`` names a column for the
-    key that matched, null if none did. With ``distinct`` equal offers under a key count once.
+    a column the left value stays. Keys are compared as text; null keys match nothing.
+    ``matched_on`` names a column for the key that matched, null if none did. With ``distinct``
+    equal offers under a key count once.
 
     First each row learns which of its keys exists, from the distinct keys of the right side.
     Then one inner join fetches the partners under that key, with blank partners for the rows
