@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rosterflow.llm.common import held_out
+from rosterflow.llm.language_id import fit_language, identify_language
 from rosterflow.llm.packing import pack_documents
+from rosterflow.llm.quality_model import fit_quality, score_quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,3 +49,20 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
+
+
+@query()
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    docs = table(spark, sf_dir, "documents")
+    model = fit_quality(docs, table(spark, sf_dir, "labels"))
+    scored = score_quality(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@query()
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document."""
+    docs = table(spark, sf_dir, "documents")
+    found = identify_language(docs.select("doc_id", "text"), fit_language(docs))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
