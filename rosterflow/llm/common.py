@@ -72,3 +72,20 @@ def ship(spark: SparkSession) -> None:
             out.write(path, path.relative_to(root).as_posix())
     context.addPyFile(str(archive))
     _shipped.add(context.applicationId)
+
+
+def saved(df: DataFrame) -> DataFrame:
+    """The rows of ``df`` in the checkpoint folder that all executors share, with its lineage cut.
+
+    A session that names none in ``spark.checkpoint.dir`` gets a folder of its own, which only
+    a local one may do.
+    """
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            if not context.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+            folder = tempfile.mkdtemp(prefix="rosterflow-checkpoints-")
+        context.setCheckpointDir(folder)
+    return df.checkpoint()

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from rosterflow.llm.common import held_out
 from rosterflow.llm.language_id import fit_language, identify_language
+from rosterflow.llm.line_dedup import drop_shared_lines
 from rosterflow.llm.packing import pack_documents
 from rosterflow.llm.quality_model import fit_quality, score_quality
 
@@ -66,3 +67,31 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = identify_language(docs.select("doc_id", "text"), fit_language(docs))
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query(
+    """
+WITH lines AS (
+    SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+           generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS place
+    FROM documents
+), keyed AS (
+    SELECT doc_id, line, place,
+           translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM lines
+), shared AS (
+    SELECT key, max(doc_id) AS last_doc FROM keyed WHERE length(key) >= 20
+    GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+), marked AS (
+    SELECT k.*, s.key IS NOT NULL AND k.doc_id <> s.last_doc AS gone FROM keyed k LEFT JOIN shared s ON k.key = s.key
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+)
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the lines that others share, as a digest of what is left."""
+    kept = drop_shared_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text"), 256).alias("kept_sha256"))
