@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from rosterflow.llm.common import held_out
 from rosterflow.llm.language_id import fit_language, identify_language
 from rosterflow.llm.line_dedup import drop_shared_lines
+from rosterflow.llm.minhash_dedup import near_duplicates
 from rosterflow.llm.packing import pack_documents
 from rosterflow.llm.quality_model import fit_quality, score_quality
 
@@ -95,3 +96,9 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the lines that others share, as a digest of what is left."""
     kept = drop_shared_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text"), 256).alias("kept_sha256"))
+
+
+@query()
+def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents, by sets of two-word shingles."""
+    return near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
