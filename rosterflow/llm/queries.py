@@ -102,3 +102,11 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents, by sets of two-word shingles."""
     return near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
+
+
+@query()
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole pipeline, from raw documents to packed windows."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
