@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from rosterflow.llm.common import held_out
 from rosterflow.llm.language_id import fit_language, identify_language
 from rosterflow.llm.line_dedup import drop_shared_lines
+from rosterflow.llm.license_scan import scan_licenses
+from rosterflow.llm.line_rules import fit_lines, judge_lines
 from rosterflow.llm.minhash_dedup import near_duplicates
 from rosterflow.llm.packing import pack_documents
 from rosterflow.llm.quality_model import fit_quality, score_quality
@@ -110,3 +112,21 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
+
+
+@query()
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and notices of every document."""
+    found = scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+@query()
+def op4_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts over words and lines of every document, and whether rules and lines let it stay."""
+    docs = table(spark, sf_dir, "documents")
+    model = fit_lines(docs, table(spark, sf_dir, "labels"))
+    judged = judge_lines(docs.select("doc_id", "text"), model)
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "content_share"
+    )
