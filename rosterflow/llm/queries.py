@@ -15,6 +15,7 @@ from rosterflow.llm.line_rules import fit_lines, judge_lines
 from rosterflow.llm.minhash_dedup import near_duplicates
 from rosterflow.llm.packing import pack_documents
 from rosterflow.llm.quality_model import fit_quality, score_quality
+from rosterflow.llm.sentencepiece_io import decode_pieces, encode_pieces
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -130,3 +131,14 @@ def op4_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "content_share"
     )
+
+
+@query()
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document in a SentencePiece vocabulary, checked against its library and decoded again."""
+    model = tokenizer_file("piece_bpe_32k.model")
+    encoded = encode_pieces(table(spark, sf_dir, "documents").select("doc_id", "text"), model)
+    decoded = decode_pieces(encoded, model)
+    return decoded.select(
+        "doc_id", "n_ids", F.crc32("ids").alias("ids_crc32"), "parity", F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip")
+    )
