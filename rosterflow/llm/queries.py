@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterflow.llm.common import held_out
+from rosterflow.llm.html_extract import extract_main_text
 from rosterflow.llm.language_id import fit_language, identify_language
 from rosterflow.llm.line_dedup import drop_shared_lines
 from rosterflow.llm.license_scan import scan_licenses
@@ -142,3 +143,10 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select(
         "doc_id", "n_ids", F.crc32("ids").alias("ids_crc32"), "parity", F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip")
     )
+
+
+@query()
+def op2_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    found = extract_main_text(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", "n_chars")
