@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterflow.llm.common import held_out
+from rosterflow.llm.embedding_dedup import near_duplicate_vectors
 from rosterflow.llm.html_extract import extract_main_text
 from rosterflow.llm.language_id import fit_language, identify_language
 from rosterflow.llm.line_dedup import drop_shared_lines
@@ -150,3 +151,10 @@ def op2_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     found = extract_main_text(table(spark, sf_dir, "pages"))
     return found.select("page_id", "url", "text", "n_chars")
+
+
+@query()
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all vectors of equal labels."""
+    found = near_duplicate_vectors(table(spark, sf_dir, "embeddings"), least=0.98)
+    return found.select("vec_id", "n_links", "component_id", "kept")
