@@ -16,8 +16,8 @@ from rosterflow.llm.components import connected_components
 BANDS, ROWS, LOW_BITS = 32, 5, 2
 SIZE = BANDS * ROWS
 ODD = np.uint64(0xD6E8FEB86659FD93)
-# A block of a bucket whose members are compared in one task has so many members of each of two parts.
-PART = 512
+# Members of a bucket or of a group of candidates are compared in blocks of two parts of about so many each.
+PART = 256
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -130,104 +130,120 @@ def signed_documents(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInArrow(sign, "doc long, n long, hi long, lo long, low_bits binary, keys array<long>")
 
 
-def likely(pairs: DataFrame, signatures: DataFrame, least: float) -> DataFrame:
-    """Of pairs (a, b) those whose estimated similarity is at least ``least``."""
-    a = signatures.select(F.col("node").alias("a"), F.col("low_bits").alias("bits_a"))
-    b = signatures.select(F.col("node").alias("b"), F.col("low_bits").alias("bits_b"))
+def component_of(link: np.ndarray) -> np.ndarray:
+    """Of each row of a symmetric matrix of links the smallest row that links reach."""
+    label = np.full(len(link), -1, dtype=np.int64)
+    for row in range(len(link)):
+        if label[row] >= 0:
+            continue
+        label[row] = row
+        frontier = np.array([row])
+        while len(frontier):
+            frontier = np.flatnonzero(link[frontier].any(axis=0) & (label < 0))
+            label[frontier] = row
+    return label
 
-    @F.arrow_udf("boolean")
-    def close(left: pa.Array, right: pa.Array) -> pa.Array:
-        x, y = signature_words(left.to_pylist()), signature_words(right.to_pylist())
-        return pa.array(estimates(x, y) >= least)
 
-    joined = pairs.join(a, "a").join(b, "b")
-    return joined.filter(close("bits_a", "bits_b")).select("a", "b").distinct()
+def joining_pairs(link: np.ndarray, part: np.ndarray, same: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows that join what links join in a block of two parts, as few as there can be.
 
+    What links join inside of one part is left to that part's own block, so that a block of two parts gives a pair only
+    for components that meet in it.
+    """
+    label = component_of(link)
+    inside = np.arange(len(link)) if same else component_of(link & (part[:, None] == part))
+    row = np.flatnonzero((inside == np.arange(len(link))) & (label != np.arange(len(link))))
+    return label[row], row
+
+
+def linked_sets(sets: list[np.ndarray], percent: int) -> np.ndarray:
+    """For all pairs of sets whether their intersection is at least ``percent`` hundredths of their union."""
+    if len(sets) == 2:
+        return np.array([[False, True], [True, False]]) & linked(*sets, percent)
+    n, sizes = len(sets), np.array([len(s) for s in sets])
+    _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(n), sizes)
+    # Only what two sets share at least can meet; those columns are counted in slices of bounded size.
+    shared = np.flatnonzero(count[column] > 1)
+    number = np.cumsum(count > 1) - 1
+    row, column = row[shared], number[column[shared]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    both = np.zeros((n, n))
+    width = max(256, 4_000_000 // n)
+    for start in range(0, int(number[-1]) + 1 if len(number) else 0, width):
+        low, high = np.searchsorted(column, [start, start + width])
+        dense = np.zeros((n, width), dtype=np.float32)
+        dense[row[low:high], column[low:high] - start] = 1
+        both += dense @ dense.T
+    # A slice adds whole numbers below 2**24, which single precision holds exactly.
+    link = 100 * both >= percent * (sizes[:, None] + sizes - both)
+    np.fill_diagonal(link, False)
+    return link
+
+
+def in_blocks(members: DataFrame, group: str, columns: list[str], rows_per_slot: int) -> DataFrame:
+    """``members`` (with ``group``, ``node``, the group's size ``n`` and ``columns``) dealt out for comparisons inside of groups.
+
+    A group is cut into parts of about ``PART`` members by a hash, and each member meets each part, its own
+    included, in the block (i, j) of both. Blocks go to slots of about ``rows_per_slot`` rows.
+    """
+    parts = F.ceil(F.col("n") / PART).cast("int")
+    placed = members.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int"))
+    met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    rows = members.agg(F.sum(parts)).first()[0] or 0
+    slots = max(1, -(-int(rows) // rows_per_slot))
+    blocks = met.select(
+        F.col(group).alias("key"), F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "node", *columns
+    )
+    return blocks.withColumn("slot", F.pmod(F.xxhash64("key", "i", "j"), F.lit(slots)))
 
-def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """Pairs (a, b) with ``ok``: whether the full sets of both texts (node, text) are similar enough."""
-    a = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
-    b = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
 
-    @F.arrow_udf("boolean")
-    def similar(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for left, right in batches:
-            out, last, held = [], None, None
-            for x, y in zip(left.to_pylist(), right.to_pylist()):
-                if x != last:
-                    last, held = x, shingles(x, words)
-                out.append(linked(held, shingles(y, words), percent))
-            yield pa.array(out, pa.bool_())
+def joined_in_blocks(blocks: DataFrame, links) -> DataFrame:
+    """Pairs (a, b) that join what links join in each block; ``links`` gives the matrix of links of some rows of Arrow."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-    joined = pairs.join(b, "b").join(a, "a")
-    checked = joined.select("a", "b", similar("text_a", "text_b").alias("ok"))
-    return checked.groupBy("a", "b").agg(F.max("ok").alias("ok"))
+    def join(group: pa.Table) -> pa.Table:
+        group = group.sort_by([("key", "ascending"), ("i", "ascending"), ("j", "ascending"), ("node", "ascending")]).combine_chunks()
+        block = np.stack([group[c].to_numpy().astype(np.int64) for c in ("key", "i", "j")])
+        starts = np.flatnonzero(np.concatenate(([True], (block[:, 1:] != block[:, :-1]).any(axis=0))))
+        part, node = group["part"].to_numpy(), group["node"].to_numpy()
+        a, b = [], []
+        for start, end in zip(starts.tolist(), [*starts[1:].tolist(), group.num_rows]):
+            if end - start > 1:
+                x, y = joining_pairs(links(group.slice(start, end - start)), part[start:end], block[1, start] == block[2, start])
+                a.append(node[start:end][x])
+                b.append(node[start:end][y])
+        empty = np.zeros(0, dtype=np.int64)
+        return pa.table([pa.array(np.concatenate([*a, empty])), pa.array(np.concatenate([*b, empty]))], schema=schema)
 
+    return blocks.groupBy("slot").applyInArrow(join, "a long, b long").distinct()
 
-def more_pairs(members: DataFrame, tried: DataFrame, least: float, width: int) -> DataFrame:
-    """Further pairs to confirm, of members (key, node, label, low_bits, n) of buckets that hold several labels.
 
-    A block holds two parts of a bucket, at most ``PART`` members each. Of its pairs with different labels, a high
-    enough estimate and no earlier trial it gives, if they are many, a forest over the labels of the
-    highest estimates and the ``width`` highest besides per label; else all.
-    """
+def candidate_links(least: float):
+    """Links between signatures whose estimated similarity is ``least`` or more."""
 
-    def choose(group: pa.Table) -> pa.Table:
-        schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-        node, label = group["node"].to_numpy(), group["label"].to_numpy()
-        part, first, second = group["part"].to_numpy(), group["i"][0].as_py(), group["j"][0].as_py()
-        left, right = np.flatnonzero(part == first), np.flatnonzero(part == second)
-        if not len(left) or not len(right):
-            return schema.empty_table()
-        words = signature_words(group["low_bits"].to_pylist())
-        estimate = estimates(words[left][:, None], words[right][None, :])
-        wanted = (estimate >= least) & (label[left][:, None] != label[right][None, :])
-        if first == second:
-            wanted &= node[left][:, None] < node[right][None, :]
-        place = {n: i for i, n in enumerate(node[right].tolist())}
-        row = {n: i for i, n in enumerate(node[left].tolist())}
-        for mine, failed in zip(node.tolist(), group["failed"].to_pylist()):
-            for other in failed or ():
-                if mine in row and other in place:
-                    wanted[row[mine], place[other]] = False
-        x, y = np.nonzero(wanted)
-        if len(x) > 2000:
-            order = np.lexsort((node[right][y], node[left][x], -estimate[x, y]))
-            x, y = x[order], y[order]
-            root: dict[int, int] = {}
-
-            def find(v: int) -> int:
-                while root.get(v, v) != v:
-                    v = root[v]
-                return v
-
-            labels_x, labels_y = label[left][x].tolist(), label[right][y].tolist()
-            taken = np.zeros(len(x), dtype=bool)
-            taken[: width * len(set(label.tolist()))] = True
-            for i, (p, q) in enumerate(zip(labels_x, labels_y)):
-                if (p := find(p)) != (q := find(q)):
-                    root[max(p, q)] = min(p, q)
-                    taken[i] = True
-            x, y = x[taken], y[taken]
-        p, q = node[left][x], node[right][y]
-        return pa.table([pa.array(np.minimum(p, q)), pa.array(np.maximum(p, q))], schema=schema)
-
-    failed = tried.union(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    failed = failed.groupBy(F.col("a").alias("node")).agg(F.collect_set("b").alias("failed"))
-    parts = F.ceil(F.col("n") / PART).cast("int")
-    placed = members.join(failed, "node", "left").withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int"))
-    # Each member meets each part of its bucket, its own included, in one block.
-    blocks = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
-        "key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "node", "label", "low_bits", "failed"
-    )
-    return blocks.groupBy("key", "i", "j").applyInArrow(choose, "a long, b long").distinct()
+    def links(rows: pa.Table) -> np.ndarray:
+        words = signature_words(rows["low_bits"].to_pylist())
+        return estimates(words[:, None], words[None, :]) >= least
+
+    return links
+
+
+def confirmed_links(words: int, percent: int):
+    """Links between texts whose full sets are similar enough."""
+
+    def links(rows: pa.Table) -> np.ndarray:
+        return linked_sets([shingles(t, words) for t in texts_of(rows["text"])], percent)
+
+    return links
 
 
 def near_duplicates(
     docs: DataFrame,
     words: int = 5,
     percent: int = 80,
-    slack: float = 0.2,
+    slack: float = 0.16,
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
@@ -240,11 +256,10 @@ def near_duplicates(
 
     Documents of one set make a class with its smallest id; copies stop there. Classes that agree on all 5
     minima of one of 32 bands are candidates: a pair at 0.8 is missed with a chance of three in a
-    million. First each class meets the smallest of its bucket, if their b-bit signatures estimate a
-    similarity of no less than the threshold less ``slack`` (five standard errors), and full sets confirm the
-    link. Then all other pairs of buckets that still hold several components follow, in blocks, the
-    most similar first, until no pair is left that could join two components. So groups of many
-    thousands take about one confirmation a member, and no link between components is left out.
+    million. If their b-bit signatures estimate a similarity of no less than the threshold less ``slack`` (over four
+    standard errors), they join a group of candidates, and in each group all pairs are compared by their full
+    sets. Both comparisons go block by block; a block gives only the pairs that join components, never
+    all links, and a group of any size is spread over tasks.
 
     Null, empty and blank texts have empty sets: ``n_shingles`` 0, linked with nothing, kept. A null id
     links with nothing, has a null component and is kept. Ids should be unique: each row of a repeated id gets
@@ -264,26 +279,14 @@ def near_duplicates(
     keyed = classes.select("node", F.explode("keys").alias("key"))
     buckets = keyed.groupBy("key").agg(F.min("node").alias("first"), F.count("*").alias("n")).filter("n > 1")
     members = saved(keyed.join(buckets, "key"))
-    used = members.select("node").distinct()
-    texts = (
-        picked.join(used, picked["doc"] == used["node"], "left_semi").select(F.col("doc").alias("node"), "text")
-    )
-    pairs = members.filter("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
-    checked = saved(confirmed(likely(pairs, signatures, least), texts, words, percent))
-    width = 4
-    while True:
-        edges = checked.filter("ok").select("a", "b")
-        labels = connected_components(edges)
-        labelled = members.filter("n > 2").join(labels, "node", "left")
-        labelled = labelled.select("key", "node", "n", F.coalesce("label", "node").alias("label"))
-        open_keys = labelled.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most")).filter("least < most")
-        still = labelled.join(open_keys, "key", "left_semi").join(signatures, "node")
-        tried = checked.filter("NOT ok").select("a", "b")
-        new = saved(more_pairs(still, tried, least, width))
-        if not new.limit(1).count():
-            break
-        checked = saved(checked.union(confirmed(new, texts, words, percent)))
-        width *= 8
+    blocks = in_blocks(members.join(signatures, "node"), "key", ["low_bits"], 4000)
+    groups = connected_components(joined_in_blocks(blocks, candidate_links(least)))
+    sizes = groups.groupBy("label").agg(F.count("*").alias("n"))
+    grouped = saved(groups.join(sizes, "label").select(F.col("label").alias("group"), "node", "n"))
+    blocks = in_blocks(grouped, "group", [], 400)
+    texts = picked.select(F.col("doc").alias("node"), "text")
+    texts = texts.join(grouped.select("node"), "node", "left_semi")
+    labels = connected_components(joined_in_blocks(blocks.join(texts, "node"), confirmed_links(words, percent)))
     of_class = classes.select("hi", "lo", "node").join(labels, "node", "left")
     of_class = of_class.select(F.col("hi"), F.col("lo"), F.coalesce("label", "node").alias("component"))
     joined = signed.select("doc", "n", "hi", "lo").join(of_class, ["hi", "lo"], "left")
