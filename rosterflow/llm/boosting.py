@@ -54,7 +54,7 @@ def fit_trees(
     rate: float = 0.1,
     bins: int = 64,
     penalty: float = 2.0,
-    least_weight: float = 4.0,
+    least_weight: float = 0.5,
 ) -> BoostedTrees:
     """Trees for the logistic loss, grown level by level from histograms of first and second derivatives.
 
