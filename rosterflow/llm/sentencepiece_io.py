@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import os
+import re
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -113,8 +115,9 @@ class SentencePieceModel:
             unknown = self.pieces[self.unknown_id][0]
             model = models.BPE(vocab=vocab, merges=self.merges(), unk_token=unknown, fuse_unk=True, byte_fallback=self.byte_fallback)
         else:
-            # Pieces that a text can't spell keep their ids; their scores put them out of reach.
-            low = min((s for _, s, kind in self.pieces if kind == NORMAL), default=0.0) - 1e6
+            # The least score of normal pieces sets the cost of unknown characters, so others must not be lower.
+            # Texts that spell another piece never get here (see PieceCodec).
+            low = min((s for _, s, kind in self.pieces if kind == NORMAL), default=0.0)
             scored = [(p, s if kind == NORMAL else low) for p, s, kind in self.pieces]
             model = models.Unigram(scored, self.unknown_id, self.byte_fallback)
         steps = []
@@ -154,9 +157,23 @@ class PieceCodec:
         inner = any(SPACE_MARK in p.lstrip(SPACE_MARK) for p, _, _ in self.model.pieces)
         self.by_word = plain and not inner and self.model.dummy_prefix and self.model.escape_spaces
 
+        spelled = [re.escape(p) for p, _, kind in self.model.pieces if kind != NORMAL]
+        self.spelled = re.compile("|".join(spelled)) if spelled and self.model.kind == UNIGRAM else None
+
+    @cached_property
+    def library(self):
+        import sentencepiece
+
+        return sentencepiece.SentencePieceProcessor(model_file=self.path)
+
     def whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+        packed = [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+        if self.spelled:
+            for i, text in enumerate(texts):
+                if self.spelled.search(text):
+                    packed[i] = np.array(self.library.encode(text), dtype="<u4").tobytes()
+        return packed
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, packed little-endian and unsigned with 32 bits; an empty text has none."""
@@ -183,10 +200,6 @@ class PieceCodec:
 
     def same_as_library(self, texts: list[str], packed: list[bytes]) -> list[bool]:
         """Whether the ids of each text are those of the sentencepiece library itself."""
-        if not hasattr(self, "library"):
-            import sentencepiece
-
-            self.library = sentencepiece.SentencePieceProcessor(model_file=self.path)
         return [np.array(self.library.encode(t), dtype="<u4").tobytes() == p for t, p in zip(texts, packed)]
 
 
