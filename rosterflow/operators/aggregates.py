@@ -20,14 +20,14 @@ def max_per_group(df: DataFrame, by: Sequence[str], value: str, alias: str | Non
 def row_count(df: DataFrame, what: str = "data") -> DataFrame:
     """The number of rows as one row; running the plan fails if there are none."""
     counted = df.agg(F.count(F.lit(1)).alias("row_count"))
-    empty = F.raise_error(F.lit(f"{what} does not contain any rows"))
+    empty = F.raise_error(F.lit(f"{what}: no row where at least one is needed"))
     return counted.select(F.when(F.col("row_count") > 0, F.col("row_count")).otherwise(empty.cast("bigint")).alias("row_count"))
 
 
 def require_rows(df: DataFrame, what: str = "data") -> DataFrame:
     """The frame itself; raises now if it has no rows. Reads one row at most."""
     if df.isEmpty():
-        raise ValueError(f"{what} does not contain any rows")
+        raise ValueError(f"{what}: no row where at least one is needed")
     return df
 
 
@@ -51,13 +51,17 @@ def reconcile(
     """Expected against imported row counts per table, and per group if asked for.
 
     ``status`` is ``ok``, ``empty`` (nothing expected) or ``mismatch``; ``message`` states the
-    imported count with thousands separators. Only counts are joined.
+    imported count with thousands separators. A null in ``by`` is a group like any other. Both
+    sides' counts are stacked and summed; nothing is joined.
     """
     keys = ["table_name", *by]
-    joined = _counts(expected, by, "expected_rows").join(_counts(imported, by, "imported_rows"), keys, "full")
+    both = _counts(expected, by, "expected_rows").unionByName(_counts(imported, by, "imported_rows"), allowMissingColumns=True)
+    summed = both.groupBy(*[column(c) for c in keys]).agg(
+        F.sum("expected_rows").alias("expected_rows"), F.sum("imported_rows").alias("imported_rows")
+    )
     want = F.coalesce("expected_rows", F.lit(0)).cast("bigint")
     got = F.coalesce("imported_rows", F.lit(0)).cast("bigint")
-    return joined.select(
+    return summed.select(
         *[column(c) for c in keys],
         want.alias("expected_rows"),
         got.alias("imported_rows"),

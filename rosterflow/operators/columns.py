@@ -104,7 +104,8 @@ def all_strings(df: DataFrame) -> DataFrame:
 def type_text_columns(df: DataFrame) -> DataFrame:
     """Give text columns the type all their values share: whole number, number or text.
 
-    One aggregate over all columns decides. Empty text counts as missing in number columns.
+    One aggregate over all columns decides. Empty text counts as missing in number columns. A
+    column with a whole number that does not fit a bigint stays text, which keeps every digit.
     """
     names = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     if not names:
@@ -114,8 +115,9 @@ def type_text_columns(df: DataFrame) -> DataFrame:
     for i in range(len(names)):
         value = F.col(f"value_{i}")
         # The pattern comes first because a cast that fails is far dearer than a pattern that fails.
-        whole = value.rlike(r"^[+-]?\d+$") & ((F.length(value) <= 18) | value.try_cast("bigint").isNotNull())
-        kind = F.when(value == "", None).when(whole, 0).when(is_numeric_text(value), 1)
+        whole = value.rlike(r"^[+-]?\d+$")
+        fits = (F.length(value) <= 18) | value.try_cast("bigint").isNotNull()
+        kind = F.when(value == "", None).when(whole, F.when(fits, 0).otherwise(2)).when(is_numeric_text(value), 1)
         checks.append(F.max(F.when(value.isNotNull(), kind.otherwise(2))).alias(f"kind_{i}"))
     trimmed = df.select([F.btrim(column(name)).alias(f"value_{i}") for i, name in enumerate(names)])
     seen = trimmed.agg(*checks).first()
@@ -131,6 +133,45 @@ def type_text_columns(df: DataFrame) -> DataFrame:
     return df.select([typed(c) for c in df.columns])
 
 
+def fit_to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The columns of ``schema``, by name (in any case), with its types.
+
+    Text is converted: dates, times, numbers and truth values as Spark casts them, VARIANT and ARRAY
+    columns from JSON. Blank text is null unless the column is text. A value that does not
+    convert fails the query. Columns that the frame lacks are null; a column that the schema lacks
+    is an error.
+    """
+    given: dict[str, str] = {}
+    for name in df.columns:
+        if name.lower() in given:
+            raise ValueError(f"the frame repeats column {name}")
+        given[name.lower()] = name
+    unknown = sorted(set(given) - {f.name.lower() for f in schema.fields})
+    if unknown:
+        raise ValueError(f"the table lacks columns: {', '.join(given[c] for c in unknown)}")
+
+    def fitted(wanted: T.StructField) -> Column:
+        name = given.get(wanted.name.lower())
+        if name is None:
+            return F.lit(None).cast(wanted.dataType).alias(wanted.name)
+        have, value = df.schema[name].dataType, column(name)
+        if have == wanted.dataType:
+            return value.alias(wanted.name)
+        if isinstance(have, T.StringType):
+            value = F.when(F.btrim(value) != "", F.btrim(value))
+        if isinstance(have, T.StringType) and isinstance(wanted.dataType, T.VariantType):
+            converted = F.try_parse_json(value)
+        elif isinstance(have, T.StringType) and isinstance(wanted.dataType, T.ArrayType):
+            converted = F.from_json(value, wanted.dataType)
+        else:
+            converted = value.try_cast(wanted.dataType)
+        message = F.concat(F.lit(f"column {wanted.name} cannot hold "), F.coalesce(column(name).cast("string"), F.lit("")))
+        failed = F.raise_error(message).cast(wanted.dataType)
+        return F.when(value.isNull() | converted.isNotNull(), converted).otherwise(failed).alias(wanted.name)
+
+    return df.select([fitted(f) for f in schema.fields])
+
+
 def rename_present(df: DataFrame, renames: Mapping[str, str]) -> DataFrame:
     """Rename the columns that exist and ignore the rest."""
     return df.withColumnsRenamed(dict(renames))

@@ -18,13 +18,16 @@ def with_match_flag(
 ) -> DataFrame:
     """Left equi-join that adds whether each row found a partner.
 
+    Keys whose types differ are compared as text on both sides, so ``N/A`` against numbers just finds nothing.
     Columns both sides have keep the left value. Matched and unmatched rows come from an inner
     and an anti join (see ``split_matches``), because a left join cannot split a hot key of its
     right side.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    parts = [column(k).alias(f"k{i}") for i, k in enumerate(keys)]
-    key = F.struct(*parts) if null_keys_match or len(keys) > 1 else column(keys[0])
+    differ = {k for k in keys if left.schema[k].dataType != right.schema[k].dataType}
+    parts = [column(k).cast("string") if k in differ else column(k) for k in keys]
+    several = null_keys_match or len(keys) > 1
+    key = F.struct(*[p.alias(f"k{i}") for i, p in enumerate(parts)]) if several else parts[0]
     if not null_keys_match:
         key = F.when(reduce(Column.__and__, [column(k).isNotNull() for k in keys]), key)
     extra = [c for c in right.columns if c not in left.columns]

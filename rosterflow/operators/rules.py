@@ -37,7 +37,7 @@ def count_violations(df: DataFrame, rules: Iterable[tuple[str, Sequence[str]]])
 
 
 def prefix_labels(df: DataFrame, labels: Mapping[str, Sequence[tuple[str, str, str]]]) -> DataFrame:
-    """Add ``<column>_label`` to the columns that prefix rules cover.
+    """Add ``<column>_label`` to the columns that prefix rules cover; columns of those names are replaced.
 
     ``labels`` maps a label to ``(prefix, first column, last column)`` rules; the columns lie
     between both, inclusive. Of several rules that fit a cell the first one given wins.
@@ -53,7 +53,20 @@ def prefix_labels(df: DataFrame, labels: Mapping[str, Sequence[tuple[str, str, s
         (condition, label), *others = cases
         return reduce(lambda chain, case: chain.when(*case), others, F.when(condition, label))
 
-    return df.select("*", *[label_of(c).alias(f"{c}_label") for c in df.columns if c in rules])
+    added = {f"{c}_label": label_of(c) for c in df.columns if c in rules}
+    kept = [column(c) for c in df.columns if c not in added]
+    return df.select(*kept, *[value.alias(name) for name, value in added.items()])
+
+
+def label_columns(columns: Sequence[str], labels: Mapping[str, Sequence[tuple[str, str, str]]]) -> list[str]:
+    """Names of the columns that ``prefix_labels`` adds to these."""
+    covered = {
+        name
+        for entries in labels.values()
+        for _, first, last in entries
+        for name in columns[columns.index(first) : columns.index(last) + 1]
+    }
+    return [f"{c}_label" for c in columns if c in covered]
 
 
 def add_formulas(df: DataFrame, formulas: Mapping[str, str]) -> DataFrame:

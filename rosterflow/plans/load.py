@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 import re
+import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from rosterflow.operators.columns import all_strings, clean_columns
+from rosterflow.functions.names import column
+from rosterflow.operators.columns import all_strings, clean_columns, fit_to_schema
 from rosterflow.operators.ordering import row_range
 from rosterflow.sources.delimited import read_csv
 from rosterflow.sources.grid import grid_to_frame
@@ -22,6 +27,10 @@ def append_frame(
 ) -> None:
     """Append to a table by column name, creating it if needed; names are cleaned first.
 
+    An existing table's types count: text is converted to them and a value that does not convert
+    fails the load (see ``fit_to_schema``). Its columns that the frame lacks become null; a column
+    that the table lacks is an error.
+
     ``start`` and ``end`` pick rows by position in the order of ``key``, a unique column, to
     load a large frame in steps. Write tasks are the batches: each commits its files once, and
     a lost task is run again.
@@ -31,6 +40,8 @@ def append_frame(
             raise ValueError("start and end need a key that orders the rows")
         df = row_range(df, key, start, end)
     df = clean_columns(all_strings(df) if force_string else df)
+    if df.sparkSession.catalog.tableExists(table):
+        df = fit_to_schema(df, df.sparkSession.table(table).schema)
     df.write.mode("append").saveAsTable(table)
 
 
@@ -45,8 +56,12 @@ def upload_csv(
     end: int | None = None,
     key: str | None = None,
 ) -> None:
-    """Append delimited files, from any storage Spark reads, to a table."""
-    append_frame(read_csv(spark, path, sep, encoding, force_string), table, start, end, key)
+    """Append delimited files, from any storage Spark reads, to a table.
+
+    An existing table gives the types, so the files are read once, as text, and nothing is guessed.
+    """
+    as_text = force_string or spark.catalog.tableExists(table)
+    append_frame(read_csv(spark, path, sep, encoding, as_text), table, start, end, key)
 
 
 def upload_grid(
@@ -58,39 +73,77 @@ def upload_grid(
     end: int | None = None,
     key: str | None = None,
 ) -> None:
-    """Append a grid to a table, with guessed types unless all text is asked for."""
-    append_frame(grid_to_frame(grid, header_row, typed=not force_string), table, start, end, key)
+    """Append a grid to a table, with its types if it exists, else with guessed ones unless all text is asked for."""
+    typed = not force_string and not grid.sparkSession.catalog.tableExists(table)
+    append_frame(grid_to_frame(grid, header_row, typed=typed), table, start, end, key)
 
 
-def publish_report(df: DataFrame, report: str, max_columns: int | None = None, keep: int = 2) -> str:
+def publish_report(
+    df: DataFrame,
+    report: str,
+    max_columns: int | None = None,
+    keep: int = 2,
+    derived: Sequence[str] = (),
+    row_no: str | None = None,
+) -> str:
     """Replace a report and return the table that now backs it.
 
     The rows go to a new versioned table and the view ``report`` is then pointed at it, so the
     old version may be read by the plan that is written, readers never see half a report, and a
-    failed write changes nothing. A frame with more columns than ``max_columns``, or by default
-    than the report has now, is refused before anything is written. The ``keep`` newest
+    failed write changes nothing, not even for the next try, since no version's name is used twice.
+    A frame with more columns than ``max_columns``, or by default than the report has now, is
+    refused before anything is written; ``derived`` columns do not count. The ``keep`` newest
     versions stay.
+
+    ``row_no`` names a column that numbers the rows in the order of the frame, so that a sorted
+    report can be read in its order: numbers grow, with gaps between write tasks
+    (``report_grid`` closes them). It costs no further pass over the rows.
     """
     spark = df.sparkSession
     schema, _, name = report.rpartition(".")
     exists = spark.catalog.tableExists(report)
+    own = [c for c in df.columns if c not in {*derived, row_no}]
     if max_columns is None and exists:
-        max_columns = len(spark.table(report).columns)
-    if max_columns is not None and len(df.columns) > max_columns:
-        raise ValueError(
-            f"{report} has room for {max_columns} columns, got {len(df.columns)}: {', '.join(df.columns)}"
-        )
+        max_columns = len([c for c in spark.table(report).columns if c not in {*derived, row_no}])
+    if max_columns is not None and len(own) > max_columns:
+        raise ValueError(f"{report} has room for {max_columns} columns, got {len(own)}: {', '.join(own)}")
     versions = _versions(spark, schema, name)
     prefix = f"{schema}." if schema else ""
-    table = f"{prefix}{name}__v{max(versions, default=0) + 1}"
+    newest = max((number for number, _ in versions), default=0)
+    table = f"{prefix}{name}__v{newest + 1}_{uuid.uuid4().hex[:12]}"
+    if row_no is not None:
+        df = df.drop(row_no).select((F.monotonically_increasing_id() + 1).alias(row_no), "*")
     df.write.saveAsTable(table)
     spark.sql(f"CREATE OR REPLACE VIEW {report} AS SELECT * FROM {table}")
-    for old in sorted(versions, reverse=True)[max(keep, 1) - 1 :]:
-        spark.sql(f"DROP TABLE IF EXISTS {prefix}{name}__v{old}")
+    for _, old in sorted(versions, reverse=True)[max(keep, 1) - 1 :]:
+        spark.sql(f"DROP TABLE IF EXISTS {prefix}{old}")
     return table
 
 
-def _versions(spark: SparkSession, schema: str, name: str) -> list[int]:
+def _versions(spark: SparkSession, schema: str, name: str) -> list[tuple[int, str]]:
+    """Number and name of each version table of a report."""
     tables = [t.name.lower() for t in spark.catalog.listTables(schema or None) if not t.isTemporary]
-    found = [re.fullmatch(rf"{re.escape(name.lower())}__v(\d+)", t) for t in tables]
-    return [int(m.group(1)) for m in found if m]
+    found = [re.fullmatch(rf"{re.escape(name.lower())}__v(\d+)(?:_[0-9a-f]+)?", t) for t in tables]
+    return [(int(m.group(1)), m.group(0)) for m in found if m]
+
+
+def report_grid(report: DataFrame, row_no: str, headers: DataFrame) -> DataFrame:
+    """A published report as a grid below the rows of ``headers`` (``row_no``, ``cells``), which stay as they are.
+
+    ``row_no`` is the column that ``publish_report`` numbered the rows with; in the grid they are numbered
+    without gaps. Only the number of header rows and one count per write task leave the rows' tasks.
+    """
+    first = headers.agg(F.max("row_no")).first()[0] or 0
+    # The upper bits of a number tell the task that wrote the row, the lower 33 its place there.
+    task = F.shiftright(F.col(row_no) - 1, 33)
+    counts = report.groupBy(task.alias("_task")).agg(F.count(F.lit(1)).alias("_n"))
+    before = counts.select(
+        "_task", F.sum("_n").over(Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)).alias("_before")
+    )
+    place = (F.col(row_no) - 1).bitwiseAND((1 << 33) - 1)
+    names = [c for c in report.columns if c != row_no]
+    rows = report.withColumn("_task", task).join(before, "_task").select(
+        (place + F.coalesce("_before", F.lit(0)) + 1 + first).alias("row_no"),
+        F.array(*[F.coalesce(column(c).cast("string"), F.lit("")) for c in names]).alias("cells"),
+    )
+    return headers.select("row_no", "cells").unionByName(rows)

@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 from rosterflow.functions.names import column
 from rosterflow.functions.text import NOT_APPLICABLE, NOT_ASSIGNED, blank_nulls, blank_sentinel, number_key
 from rosterflow.operators.columns import keep_right_of, rename_present
-from rosterflow.operators.matching import fallback_match, is_newly_listed
+from rosterflow.operators.matching import fallback_match
 from rosterflow.operators.ordering import distinct_rows, sort_rows
-from rosterflow.operators.rules import add_formulas, prefix_labels, rule_violations
+from rosterflow.operators.rules import add_formulas, label_columns, prefix_labels, rule_violations
 from rosterflow.sources.grid import grid_to_frame
 from rosterflow.sources.sql import read_sql_files
 
@@ -36,6 +36,7 @@ def refresh_report(
     sort_by: Sequence[str] = (),
     ascending: Sequence[bool] | bool = True,
     blank_keys_match: bool = False,
+    derived: Sequence[str] = (),
 ) -> DataFrame:
     """New query rows with the notes of the existing report.
 
@@ -48,9 +49,13 @@ def refresh_report(
     With ``blank_keys_match`` empty identifiers count as equal to each other, so every row
     without one gets the notes of every other; off by default.
 
+    ``derived`` columns of the report, such as formulas, labels and row numbers of the last refresh,
+    are no notes and do not come back; whoever derived them does so again.
+
     Both sides lose exact copies before they meet, which makes the result free of copies
     without a pass over its full width and keeps copies of a frequent key from multiplying.
     """
+    report = report.drop(*derived)
     width = len(query.columns) if query_columns is None else query_columns
     notes = report.columns[width if report_query_columns is None else report_query_columns :]
     _check_columns(query, report, notes, primary, secondary)
@@ -62,15 +67,13 @@ def refresh_report(
     kept = kept.withColumn(primary, blank_sentinel(column(primary)))
 
     keys = {_FIRST: _primary_key(column(primary), blank_keys_match)}
-    fresh_keys = dict(keys)
     if use_secondary:
         keys[_SECOND] = F.when(
             column(secondary) != NOT_APPLICABLE, _secondary_key(column(secondary), blank_keys_match)
         )
-        fresh_keys[_SECOND] = F.when(~is_newly_listed(column(primary), column(secondary)), keys[_SECOND])
     offers = kept.select(*[key.alias(k) for k, key in keys.items()], *[column(c) for c in notes])
 
-    combined = fallback_match(fresh.withColumns(fresh_keys), offers, list(keys), _MATCHED, distinct=True)
+    combined = fallback_match(fresh.withColumns(keys), offers, list(keys), _MATCHED, distinct=True)
     if width < len(query.columns):
         # Rows matched on the primary identifier keep all query columns, the others the first ones.
         by_primary = F.col(_MATCHED).eqNullSafe(F.lit(_FIRST))
@@ -138,7 +141,10 @@ def refresh_reports(
     parameters: Mapping[str, Any] | None = None,
     more_parameters: Mapping[str, Any] | None = None,
 ) -> dict[str, DataFrame]:
-    """One lazy refresh per spec. Of parameters given twice, ``more_parameters`` win."""
+    """One lazy refresh per spec. Of parameters given twice, ``more_parameters`` win.
+
+    The report may be the result of an earlier refresh: its formula and label columns are derived anew.
+    """
     merged = {**(parameters or {}), **(more_parameters or {})}
     refreshed = {}
     for name, spec in specs.items():
@@ -153,6 +159,7 @@ def refresh_reports(
             spec.report_query_columns,
             spec.sort_by,
             spec.ascending,
+            derived=[*spec.formulas, *label_columns([*query.columns, *report.columns], spec.labels)],
         )
         refreshed[name] = prefix_labels(add_formulas(df, spec.formulas), spec.labels)
     return refreshed

@@ -170,12 +170,13 @@ def dedup_columns(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     """
 SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus,
-       strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate
+       CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS o_totalprice,
+       strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate, o_orderpriority
 FROM orders
 """
 )
 def all_text(spark: SparkSession, sf: str) -> DataFrame:
-    return all_strings(table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"))
+    return all_strings(table(spark, sf, "orders").withColumn("o_totalprice", F.col("o_totalprice").cast("decimal(18,2)")))
 
 
 @query("SELECT o_orderkey, o_orderstatus AS state, o_totalprice, o_orderpriority FROM orders")

@@ -94,6 +94,25 @@ def load_reconcile(spark: SparkSession, sf: str) -> DataFrame:
     return reconcile({"orders": require_rows(orders)}, {"orders": arrived}, ["month"])
 
 
+@query(
+    """
+WITH wanted AS (SELECT CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS state, o_orderkey FROM orders),
+arrived AS (SELECT * FROM wanted WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem) OR state IS NULL),
+both_sides AS (SELECT state, count(*) AS e, 0 AS i FROM wanted GROUP BY 1 UNION ALL SELECT state, 0, count(*) FROM arrived GROUP BY 1)
+SELECT 'orders' AS table_name, state, CAST(sum(e) AS BIGINT) AS expected_rows, CAST(sum(i) AS BIGINT) AS imported_rows,
+       CASE WHEN sum(e) = sum(i) THEN 'ok' ELSE 'mismatch' END AS status, 'Imported: ' || format('{:,}', CAST(sum(i) AS BIGINT)) AS message
+FROM both_sides GROUP BY state
+"""
+)
+def load_reconcile_null_group(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders per state, pending ones under null, against those that arrived with lines or are pending."""
+    state = F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("state")
+    orders = table(spark, sf, "orders").select("o_orderkey", state)
+    lines = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
+    arrived = orders.filter("state IS NOT NULL").join(lines, "o_orderkey", "left_semi")
+    return reconcile({"orders": orders}, {"orders": arrived.union(orders.filter("state IS NULL"))}, ["state"])
+
+
 @query("SELECT count(*) AS row_count FROM lineitem")
 def rows_in_file(spark: SparkSession, sf: str) -> DataFrame:
     return row_count(table(spark, sf, "lineitem"), "lineitem")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterflow.functions.dates import keep_from_date
-from rosterflow.operators.columns import create_table_sql, rename_present
+from rosterflow.operators.columns import clean_columns, create_table_sql, guess_types, rename_present, type_text_columns
 from rosterflow.plans.load import append_frame, upload_csv, upload_grid
 from rosterflow.registry.base import query, scratch_schema, table, text
 from rosterflow.session import scratch_path, use_java_charsets
@@ -30,11 +30,14 @@ from rosterflow.sources.sql import execute
 from rosterflow.streaming.landing import land_new_files
 
 
-@query("SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey FROM customer")
+@query("SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey, "
+    "printf('%.2f', c_acctbal) AS c_acctbal, c_mktsegment FROM customer"
+)
 def grid_to_table(spark: SparkSession, sf: str) -> DataFrame:
     customers = table(spark, sf, "customer").select(
-        (F.col("c_custkey") + 1).alias("row_no"), "c_custkey", "c_name", "c_nationkey"
-    )
+        (F.col("c_custkey") + 1).alias("row_no"), "c_custkey", "c_name", "c_nationkey",
+        F.format_string("%.2f", "c_acctbal").alias("c_acctbal"), "c_mktsegment",
+    )
     return grid_to_frame(frame_to_grid(customers, "row_no", header_row=2), header_row=2)
 
 
@@ -100,20 +103,20 @@ def caret_round_trip(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     """
 SELECT CAST(conv_id AS VARCHAR) AS conv_id, CAST(turn AS VARCHAR) AS turn, role AS "Role",
-       replace(text, chr(10), ' ') AS student_text
+       text AS student_text
 FROM conversations
 """
 )
 def import_round_trip(spark: SparkSession, sf: str) -> DataFrame:
-    """Accented text through comma files and tab files with CR line ends, both in the Mac charset."""
+    """Accented text with line breaks through comma files and tab files with CR line ends, both in the Mac charset."""
     folder = scratch_path(spark, "import")
     flat = table(spark, sf, "conversations").select(
-        "conv_id", "turn", F.col("role").alias("Role"), F.translate("text", "\n", " ").alias("student_text")
+        "conv_id", "turn", F.col("role").alias("Role"), F.col("text").alias("student_text")
     )
     use_java_charsets(spark, MAC_ROMAN)
     flat.write.options(header=True, encoding=MAC_ROMAN, **CSV_AS_IS).csv(f"{folder}/csv")
-    convert_to_import(spark, f"{folder}/csv", f"{folder}/tab", MAC_ROMAN)
-    return read_import(spark, f"{folder}/tab", MAC_ROMAN)
+    convert_to_import(spark, f"{folder}/csv", f"{folder}/tab", MAC_ROMAN, multi_line=True)
+    return read_import(spark, f"{folder}/tab", MAC_ROMAN, multi_line=True)
 
 
 @query(
@@ -137,11 +140,11 @@ def append_load(spark: SparkSession, sf: str) -> DataFrame:
     return rename_present(spark.table(target), {"supplier_no_": "supplier_no"})
 
 
-@query("SELECT o_orderkey, o_custkey, o_orderstatus FROM orders ORDER BY o_orderkey OFFSET 40")
+@query("SELECT * FROM orders ORDER BY o_orderkey OFFSET 40")
 def append_in_steps(spark: SparkSession, sf: str) -> DataFrame:
     """A load in two steps by row position."""
     target = f"{scratch_schema(spark)}.orders_{uuid.uuid4().hex}"
-    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    orders = table(spark, sf, "orders")
     append_frame(orders, target, 40, 7000, key="o_orderkey")
     append_frame(orders, target, 7000, key="o_orderkey")
     return spark.table(target)
@@ -150,7 +153,8 @@ def append_in_steps(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     """
 SELECT l_orderkey AS order_no, CAST(l_linenumber AS BIGINT) AS line, l_quantity AS quantity, l_returnflag AS flag,
-       strftime(l_shipdate, '%m/%d/%Y') AS shipped, l_linestatus = 'O' AS open
+       strftime(l_shipdate, '%m/%d/%Y') AS shipped, l_linestatus = 'O' AS open, l_partkey AS part, l_suppkey AS supplier,
+       l_extendedprice AS price, l_discount AS discount, l_tax AS tax
 FROM lineitem
 """
 )
@@ -165,19 +169,28 @@ def upload_delimited(spark: SparkSession, sf: str) -> DataFrame:
         F.col("l_returnflag").alias("Flag"),
         F.date_format("l_shipdate", "MM/dd/yyyy").alias("Shipped"),
         (F.col("l_linestatus") == "O").alias("Open"),
+        F.col("l_partkey").alias("Part"),
+        F.col("l_suppkey").alias("Supplier"),
+        F.col("l_extendedprice").alias("Price"),
+        F.col("l_discount").alias("Discount"),
+        F.col("l_tax").alias("Tax"),
     )
     lines.write.options(sep=";", header=True).csv(folder)
     upload_csv(spark, folder, target, sep=";")
     return spark.table(target)
 
 
-@query("SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DOUBLE) AS o_totalprice FROM orders")
+@query(
+    "SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DOUBLE) AS o_totalprice, "
+    "strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_orderpriority FROM orders"
+)
 def upload_sheet(spark: SparkSession, sf: str) -> DataFrame:
     """A grid with guessed types into a table."""
     target = f"{scratch_schema(spark)}.sheet_{uuid.uuid4().hex}"
     orders = table(spark, sf, "orders").select(
-        (F.col("o_orderkey") + 1).alias("row_no"), "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"
-    )
+        (F.col("o_orderkey") + 1).alias("row_no"), "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate"), "o_orderpriority",
+    )
     upload_grid(frame_to_grid(orders, "row_no"), target)
     return spark.table(target)
 
@@ -194,17 +207,71 @@ def latest_file(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     """
-SELECT event_id, user_id, event_type, value FROM events
+SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, user_id, event_type, value, props FROM events
 """
 )
 def stream_landing(spark: SparkSession, sf: str) -> DataFrame:
     """Event files that arrive in two drops, each landed by a run of the stream."""
     folder = scratch_path(spark, "stream")
     events = table(spark, sf, "events").select(
-        "event_id", "user_id", F.col("event_type").alias("Event Type"), "value"
-    )
-    schema = "event_id BIGINT, user_id BIGINT, `Event Type` STRING, value DOUBLE"
+        "event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"), "user_id", F.col("event_type").alias("Event Type"),
+        "value", "props",
+    )
+    schema = "event_id BIGINT, ts STRING, user_id BIGINT, `Event Type` STRING, value DOUBLE, props STRING"
     for drop in ("value < 10", "value >= 10 OR value IS NULL"):
-        events.filter(drop).write.mode("append").csv(f"{folder}/in", header=True)
+        events.filter(drop).write.mode("append").options(header=True, **CSV_AS_IS).csv(f"{folder}/in")
         landed = land_new_files(spark, f"{folder}/in", schema, f"{folder}/out", f"{folder}/checkpoint")
     return landed
+
+
+@query(
+    """
+SELECT o_orderkey, o_custkey, o_orderstatus, CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR) AS o_totalprice, o_orderdate, o_orderpriority,
+       strftime(o_orderdate, '%Y-%m-%d') AS as_of, o_orderstatus = 'P' AS pending, '[' || o_orderkey || ',' || o_custkey || ']' AS ids,
+       CAST(NULL AS VARCHAR) AS remark
+FROM orders
+"""
+)
+def load_declared_types(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders through a CSV file into a table whose types are declared; the file lacks one of its columns."""
+    folder = scratch_path(spark, "typed")
+    schema, name = scratch_schema(spark), f"typed_{uuid.uuid4().hex}"
+    orders = table(spark, sf, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", F.format_string("%.2f", "o_totalprice").alias("o_totalprice"),
+        "o_orderdate", "o_orderpriority", F.to_date("o_orderdate").alias("As Of"), (F.col("o_orderstatus") == "P").alias("Pending"),
+        F.concat(F.lit("["), "o_orderkey", F.lit(","), "o_custkey", F.lit("]")).alias("ids"),
+    )
+    orders.write.options(header=True, **CSV_AS_IS).csv(folder)
+    declared = {
+        **guess_types(clean_columns(read_csv(spark, folder, force_string=True))),
+        "o_orderkey": "INTEGER",
+        "o_custkey": "INTEGER",
+        "o_totalprice": "NUMERIC(12,2)",
+        "o_orderdate": "TIMESTAMP WITHOUT TIME ZONE",
+        "pending": "BOOLEAN",
+        "ids": "VARIANT",
+        "remark": "VARCHAR",
+    }
+    execute(spark, create_table_sql(name, schema, columns=declared))
+    upload_csv(spark, folder, f"{schema}.{name}")
+    loaded = spark.table(f"{schema}.{name}")
+    # Shown as text, which both engines spell alike.
+    return loaded.withColumns({"ids": F.to_json("ids"), "o_totalprice": text("o_totalprice"), "as_of": text("as_of")})
+
+
+@query("SELECT c_custkey, c_name, c_mktsegment, CASE WHEN c_acctbal < 0 THEN c_acctbal END AS c_acctbal FROM customer")
+def read_mixed_headers(spark: SparkSession, sf: str) -> DataFrame:
+    """Files of one folder whose columns stand in another order, or are missing."""
+    folder = scratch_path(spark, "headers")
+    customers = table(spark, sf, "customer")
+    customers.filter("c_acctbal < 0").select("c_mktsegment", "c_acctbal", "c_custkey", "c_name").write.csv(f"{folder}/a", header=True)
+    customers.filter("c_acctbal >= 0").select("c_custkey", "c_name", "c_mktsegment").write.csv(f"{folder}/b", header=True)
+    return read_csv(spark, f"{folder}/*", by_name=True)
+
+
+@query("SELECT CAST(l_orderkey AS VARCHAR) || '00000000000000000000' || l_linenumber AS long_id, CAST(l_linenumber AS BIGINT) AS line FROM lineitem")
+def long_numbers_stay_exact(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole numbers too long for a bigint stay text when types are guessed."""
+    lines = table(spark, sf, "lineitem")
+    long_id = F.concat("l_orderkey", F.lit("0" * 20), "l_linenumber").alias("long_id")
+    return type_text_columns(lines.select(long_id, text("l_linenumber").alias("line")))

@@ -1,8 +1,8 @@
 """Report refresh and the joins it is made of.
 
 The fresh query lists every customer; a fifth of them have no primary identifier yet and those
-of some nations have no secondary one. The existing report lists the customers with pending
-urgent orders, under query columns that may be out of date, with notes on the right.
+of some nations have no secondary one. The existing report lists the customers with orders,
+under query columns that may be out of date, with notes on the right.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from rosterflow.functions.names import column
 from rosterflow.functions.text import NOT_APPLICABLE, NOT_ASSIGNED, is_numeric_text, to_number
 from rosterflow.operators.matching import fallback_match, is_newly_listed, split_matches, with_match_flag
 from rosterflow.operators.ordering import sort_rows, union_by_name
-from rosterflow.plans.load import publish_report
+from rosterflow.plans.load import publish_report, report_grid
 from rosterflow.plans.refresh import ReportSpec, refresh_report, refresh_reports
 from rosterflow.registry.base import query, scratch_schema, table, text
 from rosterflow.session import scratch_path
@@ -39,14 +39,15 @@ def fresh_customers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def pending_urgent(spark: SparkSession, sf: str) -> DataFrame:
-    """Customers with pending urgent orders."""
+    """Of each customer with orders the day of the last one that is pending and how many are pending and urgent."""
+    pending = F.col("o_orderstatus") == "P"
+    urgent = pending & (F.col("o_orderpriority") == "1-URGENT")
     return (
         table(spark, sf, "orders")
-        .filter("o_orderstatus = 'P' AND o_orderpriority = '1-URGENT'")
         .groupBy(F.col("o_custkey").alias("c_custkey"))
         .agg(
-            F.date_format(F.max("o_orderdate"), "yyyy-MM-dd").alias("last_pending"),
-            text(F.count(F.lit(1))).alias("pending_orders"),
+            F.coalesce(F.date_format(F.max(F.when(pending, F.col("o_orderdate"))), "yyyy-MM-dd"), F.lit("")).alias("last_pending"),
+            text(F.count_if(urgent)).alias("pending_orders"),
         )
     )
 
@@ -81,8 +82,9 @@ fresh AS (
 
 PENDING = """
 pending AS (
-  SELECT o_custkey, strftime(max(o_orderdate), '%Y-%m-%d') AS last_pending, CAST(count(*) AS VARCHAR) AS pending_orders
-  FROM orders WHERE o_orderstatus = 'P' AND o_orderpriority = '1-URGENT' GROUP BY o_custkey)"""
+  SELECT o_custkey, coalesce(strftime(max(o_orderdate) FILTER (o_orderstatus = 'P'), '%Y-%m-%d'), '') AS last_pending,
+         CAST(count(*) FILTER (o_orderstatus = 'P' AND o_orderpriority = '1-URGENT') AS VARCHAR) AS pending_orders
+  FROM orders GROUP BY o_custkey)"""
 
 OLD_IDS = """
          CASE WHEN c_mktsegment = 'BUILDING' AND c_acctbal < 3000 THEN '' ELSE CAST(c_custkey AS VARCHAR) END AS customer_id,
@@ -236,19 +238,17 @@ def match_indicator(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     """
 SELECT o_orderkey, o_custkey, CAST(l_linenumber AS VARCHAR) AS l_linenumber, l_quantity,
-       CASE WHEN l_orderkey IS NULL THEN 'no returns' ELSE 'returned' END AS part
-FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey AND l_returnflag = 'R'
+       l_returnflag, CASE WHEN l_orderkey IS NULL THEN 'no lines' ELSE 'lines' END AS part
+FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey
 """
 )
 def match_split(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    returned = table(spark, sf, "lineitem").filter("l_returnflag = 'R'").select(
-        F.col("l_orderkey").alias("o_orderkey"), text("l_linenumber").alias("l_linenumber"), "l_quantity"
-    )
-    matched, unmatched = split_matches(orders, returned, "o_orderkey")
-    return union_by_name(
-        matched.withColumn("part", F.lit("returned")), unmatched.withColumn("part", F.lit("no returns"))
+    lines = table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("o_orderkey"), text("l_linenumber").alias("l_linenumber"), "l_quantity", "l_returnflag"
     )
+    matched, unmatched = split_matches(orders, lines, "o_orderkey")
+    return union_by_name(matched.withColumn("part", F.lit("lines")), unmatched.withColumn("part", F.lit("no lines")))
 
 
 @query(
@@ -297,3 +297,83 @@ def newly_listed(spark: SparkSession, sf: str) -> DataFrame:
         to_number(column("legacy_id")).alias("legacy_number"),
         is_newly_listed(column("customer_id"), column("legacy_id")).alias("newly_listed"),
     )
+
+
+THREE_TIMES = f"""
+{TWO_KEYS_INPUTS}, refreshed AS ({TWO_KEYS_ROWS}),
+labelled AS (
+  SELECT *, c_name || ' (' || c_mktsegment || ')' AS title,
+         CASE WHEN starts_with(c_mktsegment, 'M') THEN 'red' WHEN starts_with(c_mktsegment, 'H') THEN 'green' END AS c_mktsegment_label
+  FROM refreshed)"""
+
+
+def published_three_times(spark: SparkSession, sf: str) -> str:
+    """Name of a report that was refreshed and published three times, each from what the last publish left."""
+    report = f"{scratch_schema(spark)}.daily_{uuid.uuid4().hex}"
+    folder = scratch_path(spark, "daily-query")
+    fresh_sql = """
+        SELECT CASE WHEN c_mktsegment = 'BUILDING' THEN 'Not Assigned Yet' ELSE CAST(c_custkey AS STRING) END AS customer_id,
+               CASE WHEN c_nationkey < 8 THEN 'N/A' ELSE CAST(c_custkey + 1000000 AS STRING) END AS legacy_id,
+               c_name, c_mktsegment, c_nationkey
+        FROM parquet.`{folder}/customer.parquet`"""
+    spark.createDataFrame([(fresh_sql,)], "value string").coalesce(1).write.text(folder)
+    notes = pending_urgent(spark, sf).withColumn("row_no", F.col("c_custkey") + 1)
+    grid = frame_to_grid(old_report(spark, sf, notes, "last_pending", "pending_orders", "row_no"), "row_no")
+    headers = grid.filter("row_no = 1")
+    derived = ["title", "c_mktsegment_label"]
+    for _ in range(3):
+        spec = ReportSpec(
+            query_path=folder,
+            report=grid,
+            query_columns=QUERY_WIDTH,
+            formulas={"title": "c_name || ' (' || c_mktsegment || ')'"},
+            labels={"red": [("M", "c_mktsegment", "c_mktsegment")], "green": [("H", "c_mktsegment", "c_mktsegment")]},
+            sort_by=["c_name", "last_pending", "pending_orders"],
+        )
+        refreshed = refresh_reports(spark, {"daily": spec}, "customer_id", "legacy_id", {"folder": sf.rstrip("/")})["daily"]
+        publish_report(refreshed, report, derived=derived, row_no="row_no")
+        published = spark.table(report)
+        names = [c for c in published.columns if c != "row_no"]
+        headers = spark.createDataFrame([(1, names)], "row_no bigint, cells array<string>")
+        grid = report_grid(published, "row_no", headers)
+    return report
+
+
+@query(f"{THREE_TIMES} SELECT * FROM labelled")
+def refresh_three_times(spark: SparkSession, sf: str) -> DataFrame:
+    """A report with labels, formulas and a sort, refreshed from its own last state three times."""
+    return spark.table(published_three_times(spark, sf)).drop("row_no")
+
+
+@query(
+    f"""
+{THREE_TIMES}, numbered AS (
+  SELECT row_number() OVER (ORDER BY c_name, last_pending, pending_orders) + 1 AS row_no, c_name, last_pending, pending_orders FROM labelled)
+SELECT row_no, c_name, last_pending, pending_orders FROM numbered
+UNION ALL SELECT 1, 'c_name', 'last_pending', 'pending_orders'
+"""
+)
+def refreshed_grid(spark: SparkSession, sf: str) -> DataFrame:
+    """The same report as a grid below its header row, in the order of its sort."""
+    published = spark.table(published_three_times(spark, sf))
+    names = [c for c in published.columns if c != "row_no"]
+    headers = spark.createDataFrame([(1, names)], "row_no bigint, cells array<string>")
+    grid = report_grid(published, "row_no", headers)
+    cell = {c: F.get("cells", F.lit(names.index(c))).alias(c) for c in ("c_name", "last_pending", "pending_orders")}
+    return grid.select("row_no", *cell.values())
+
+
+@query(
+    """
+SELECT c_custkey, c_name, CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderkey IS NOT NULL AS has_order
+FROM (SELECT *, CASE WHEN c_acctbal < 0 THEN 'N/A' ELSE CAST(c_custkey AS VARCHAR) END AS customer FROM customer)
+LEFT JOIN orders ON customer = CAST(o_custkey AS VARCHAR)
+"""
+)
+def match_mixed_key_types(spark: SparkSession, sf: str) -> DataFrame:
+    """Text keys, some of them N/A, against number keys."""
+    customers = table(spark, sf, "customer").select(
+        "c_custkey", "c_name", F.when(F.col("c_acctbal") < 0, "N/A").otherwise(text("c_custkey")).alias("customer")
+    )
+    orders = table(spark, sf, "orders").select(F.col("o_custkey").alias("customer"), text("o_orderkey").alias("o_orderkey"))
+    return with_match_flag(customers, orders, "customer", "has_order").drop("customer")

@@ -19,9 +19,12 @@ def list_drops(spark: SparkSession, folder: str) -> DataFrame:
         .load(root)
         .select("path", "modificationTime")
     )
-    # The listing gives full addresses, the caller maybe a bare path.
-    below = F.substring_index(F.col("path"), f"{root.split(':', 1)[-1]}/", -1)
-    child = F.element_at(F.split(below, "/"), 1)
+    # The listing gives full addresses, the caller maybe a bare or relative path: Spark's own reading of it is the root.
+    address = spark._jvm.org.apache.hadoop.fs.Path(root)
+    address = address.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(address).toString().rstrip("/")
+    plain = address.split(":", 1)[-1].lstrip("/")
+    below = F.regexp_replace("path", r"^[a-zA-Z][-+.a-zA-Z0-9]*:/+|^/+", "")
+    child = F.element_at(F.split(F.substring(below, len(plain) + 2, 1 << 20), "/"), 1)
     return files.groupBy(child.alias("name")).agg(F.max("modificationTime").alias("modified"))
 
 

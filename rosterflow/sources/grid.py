@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rosterflow.functions.names import column
 from rosterflow.operators.columns import type_text_columns
 
 
@@ -36,6 +37,6 @@ def frame_to_grid(df: DataFrame, row_no: str, header_row: int = 1) -> DataFrame:
     )
     rows = df.select(
         (F.col(row_no) + header_row).cast("bigint").alias("row_no"),
-        F.array(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in names]).alias("cells"),
+        F.array(*[F.coalesce(column(c).cast("string"), F.lit("")) for c in names]).alias("cells"),
     )
     return header.unionByName(rows)

@@ -6,15 +6,24 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rosterflow.functions.names import column
+
+
+def parsed_type(item_schema: str) -> T.ArrayType:
+    """Type of a page of such items."""
+    return T.ArrayType(T.StructType.fromDDL(item_schema))
+
 
 def explode_pages(pages: DataFrame, body: str, item_schema: str) -> DataFrame:
     """One row per object: the other columns of the page, ``item_no`` from 1, then the object's fields.
 
-    ``item_schema`` is a DDL field list such as ``id BIGINT, name STRING``. A page that is not
-    valid JSON fails the query; it never drops out silently.
+    ``item_schema`` is a DDL field list such as ``id BIGINT, name STRING``. A page that is null,
+    empty or not an array of JSON fails the query; an empty array has no object.
     """
-    items = F.from_json(F.col(body), T.ArrayType(T.StructType.fromDDL(item_schema)), {"mode": "FAILFAST"})
-    rest = [F.col(c) for c in pages.columns if c != body]
+    parsed = F.from_json(column(body), parsed_type(item_schema), {"mode": "FAILFAST"})
+    no_page = F.raise_error(F.lit("a page is null or empty")).cast(parsed_type(item_schema))
+    items = F.when(parsed.isNotNull(), parsed).otherwise(no_page)
+    rest = [column(c) for c in pages.columns if c != body]
     return pages.select(*rest, F.posexplode(items).alias("_at", "_item")).select(
         *rest, (F.col("_at") + 1).alias("item_no"), "_item.*"
     )

@@ -30,9 +30,13 @@ def read_sql_file(
     """Run the query in a file on any storage Spark reads.
 
     ``parameters`` replace ``{name}`` fields in the text as they are, for existing templates;
-    values that come from outside belong in ``named``, which never changes the query's shape.
+    values that come from outside belong in ``named``, which never changes the query's shape. A
+    path that holds no file or several is an error.
     """
-    sql = spark.read.text(path, wholetext=True).first()[0]
+    found = spark.read.text(path, wholetext=True).take(2)
+    if len(found) != 1:
+        raise ValueError(f"{path} must hold exactly one query file")
+    sql = found[0][0]
     if parameters:
         sql = sql.format(**parameters)
     return read_sql(spark, sql, named)

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from rosterflow.operators.columns import clean_columns
 from rosterflow.session import use_java_charsets
-from rosterflow.sources.delimited import CSV_AS_IS
+from rosterflow.sources.delimited import CSV_AS_IS, refuse_bad_bytes
 
 
 def land_new_files(
@@ -25,16 +25,17 @@ def land_new_files(
 
     The checkpoint remembers which files were loaded: a second run loads what came since, and a
     run that fails half-way goes on without loading a file twice. Run it again, or on a
-    schedule, to follow the folder.
+    schedule, to follow the folder. A file whose header is not that of the schema, in its order,
+    and bytes that the charset does not have fail the run.
     """
     use_java_charsets(spark, encoding)
     arriving = (
         spark.readStream.schema(schema)
-        .options(sep=sep, header=header, encoding=encoding, maxFilesPerTrigger=files_per_batch, mode="FAILFAST", **CSV_AS_IS)
+        .options(sep=sep, header=header, encoding=encoding, maxFilesPerTrigger=files_per_batch, enforceSchema=False, mode="FAILFAST", **CSV_AS_IS)
         .csv(folder)
     )
     landing = (
-        clean_columns(arriving)
+        clean_columns(refuse_bad_bytes(arriving))
         .writeStream.format("parquet")
         .outputMode("append")
         .option("checkpointLocation", checkpoint)

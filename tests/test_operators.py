@@ -158,7 +158,7 @@ def test_type_text_columns(spark):
         "i string, d string, s string, e string, big string, z string, n int",
     )
     typed = type_text_columns(df)
-    assert [t for _, t in typed.dtypes] == ["bigint", "double", "string", "string", "double", "bigint", "int"]
+    assert [t for _, t in typed.dtypes] == ["bigint", "double", "string", "string", "string", "bigint", "int"]
     assert [tuple(r)[:2] for r in typed.collect()] == [(1, 1.5), (-2, 3.0)]
 
 
@@ -264,10 +264,10 @@ def test_figures(spark, rows):
     assert rows(last_value(df, "v", "seq")) == [(20,)]
     assert rows(last_value(df, "v", "seq", ["k"])) == sorted([("a", 20), ("b", None)], key=repr)
     assert rows(row_count(df)) == [(3,)]
-    with pytest.raises(Exception, match="upload does not contain any rows"):
+    with pytest.raises(Exception, match="upload: no row where at least one is needed"):
         row_count(df.filter("seq > 9"), "upload").collect()
     assert require_rows(df) is df
-    with pytest.raises(ValueError, match="does not contain any rows"):
+    with pytest.raises(ValueError, match="no row where at least one is needed"):
         require_rows(df.filter("seq > 9"))
 
 

@@ -8,7 +8,8 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
+from __spark_entry__ import entry  # noqa: E402
+from rosterflow.registry import CHECKS, QUERIES  # noqa: E402
 from tools.check_queries import TABLES, canonical  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
@@ -22,11 +23,11 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
-    df = queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     got = df.toPandas()
-    want = duck.sql(oracle_sql()[name]).df()
+    want = duck.sql(CHECKS[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert len(got) == len(want)
     assert canonical(got) == canonical(want)
@@ -36,7 +37,7 @@ def test_query(spark, duck, name):
 
 
 def test_every_query_has_a_check():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(CHECKS)
 
 
 def test_entry(spark):

@@ -208,13 +208,13 @@ def test_publish_replaces_a_report_it_reads(spark, rows):
     spark.sql("CREATE SCHEMA IF NOT EXISTS publishing")
     name = "publishing.tracker"
     first = spark.createDataFrame([("1", "a", "n")], "id string, name string, note string")
-    assert publish_report(first, name).endswith("__v1")
+    assert "__v1_" in publish_report(first, name)
     for version in (2, 3, 4):
         query = spark.createDataFrame([("1", "b"), (str(version), "c")], "id string, name string")
-        assert publish_report(refresh_report(query, spark.table(name), "id"), name).endswith(f"__v{version}")
+        assert f"__v{version}_" in publish_report(refresh_report(query, spark.table(name), "id"), name)
     assert rows(spark.table(name)) == [("1", "b", "n"), ("4", "c", "")]
     kept = sorted(t.name for t in spark.catalog.listTables("publishing") if not t.isTemporary)
-    assert kept == ["tracker", "tracker__v3", "tracker__v4"]
+    assert [k.rpartition("_")[0] for k in kept] == ["", "tracker__v3", "tracker__v4"]
 
 
 def test_publish_refuses_a_wider_report_and_leaves_the_old_one(spark, rows):
