@@ -45,8 +45,11 @@ def row_range(df: DataFrame, key: str, start: int = 0, end: int | None = None) -
     if start < 0 or (end is not None and end < start):
         raise ValueError("need 0 <= start <= end")
     kind = df.select(column(key)).schema[0].dataType
-    first = _key_at(df, key, start)
-    if first is None or end == start:
+    if end == start:
+        return df.filter(F.lit(False))
+    # From the first row on nothing has to be found.
+    first = _key_at(df, key, start) if start else None
+    if start and first is None:
         return df.filter(F.lit(False))
     rows = df.filter(column(key) >= _bound(first, kind)) if start else df
     stop = None if end is None else _key_at(df, key, end)

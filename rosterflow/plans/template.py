@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from rosterflow.functions.names import column
 from rosterflow.functions.text import placeholder
 from rosterflow.operators.latest import latest_rows
-from rosterflow.operators.matching import distinct_keys
 
 # The category and goal with placeholders of their own, and the entity placeholder.
 GOAL_CATEGORY = "Goal"
@@ -76,11 +75,18 @@ def collect_entries(
     entity's template are collected, so a map is never larger than the template's list of
     placeholders, however many rows the entity has.
     """
-    used = entries.join(distinct_keys(slots, "token"), "token", "left_semi")
-    first = used.groupBy(column(entity), "token").agg(F.min(F.struct("seq", "value")).alias("first"))
-    needed = first.join(entities.select(column(entity), column(template)), entity).join(
-        slots, [template, "token"], "left_semi"
-    )
+    listed = slots.groupBy(column(template)).agg(F.collect_set("token").alias("_slots"))
+    return _collected(entries, entities.select(column(entity), column(template)).join(listed, template), entity)
+
+
+def _collected(entries: DataFrame, wanted: DataFrame, entity: str) -> DataFrame:
+    """The maps of entities that have entries among their ``_slots``.
+
+    Entries are combined per placeholder before they move; the join and the collecting that follows
+    then share one partitioning by entity.
+    """
+    first = entries.groupBy(column(entity), "token").agg(F.min(F.struct("seq", "value")).alias("first"))
+    needed = first.join(wanted.select(column(entity), "_slots"), entity).filter(F.array_contains("_slots", F.col("token")))
     ordered = F.array_sort(F.collect_list(F.struct("first.seq", "token", "first.value")))
     pairs = F.transform(ordered, lambda e: F.struct(e["token"].alias("key"), e["value"].alias("value")))
     return needed.groupBy(column(entity)).agg(F.map_from_entries(pairs).alias("entries"))
@@ -101,14 +107,13 @@ def fill_templates(
     template. ``{school}`` becomes the entity itself, or its ``label`` column. A placeholder
     without a value stays as it is; an entity whose template does not exist gets null.
     """
-    slots = template_slots(templates, template, text)
-    collected = collect_entries(entries, entities, slots, entity, template)
+    found = F.array_distinct(F.regexp_extract_all(column(text), F.lit(PLACEHOLDER_PATTERN), F.lit(0)))
+    known = templates.select(column(template), column(text), found.alias("_slots"))
+    wanted = entities.join(known, template, "left")
+    collected = _collected(entries, wanted, entity)
     name = column(label or entity).cast("string")
     start = F.replace(column(text), F.lit(ENTITY_PLACEHOLDER), name)
     pairs = F.coalesce(F.map_entries("entries"), F.array())
     filled = F.aggregate(pairs, start, lambda so_far, e: F.replace(so_far, e["key"], e["value"]))
-    return (
-        entities.join(templates.select(column(template), column(text)), template, "left")
-        .join(collected, entity, "left")
-        .select(column(entity), column(template), filled.alias("filled_text"))
-    )
+    joined = wanted.join(collected, entity, "left")
+    return joined.select(column(entity), column(template), filled.alias("filled_text"))
