@@ -8,6 +8,7 @@ from collections.abc import Iterator
 from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,11 +46,24 @@ def learnable(doc_id: Column) -> Column:
     return doc_id.isNotNull() & ~held_out(doc_id)
 
 
-def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
-    """The batches in small pieces, so that Python objects exist for few rows at a time."""
+def parts_of(texts: pa.Array, rows: int, most_bytes: int) -> Iterator[tuple[int, int]]:
+    """(start, length) of runs of texts, each of at most ``rows`` rows and ``most_bytes`` or one row."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
+    start = held = 0
+    for at, size in enumerate(sizes):
+        if at > start and (at - start >= rows or held + size > most_bytes):
+            yield start, at - start
+            start, held = at, 0
+        held += size
+    if len(sizes) > start:
+        yield start, len(sizes) - start
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches in small pieces by their last column, of texts, so that Python objects exist for few at a time."""
     for batch in batches:
-        for start in range(0, batch.num_rows, rows):
-            yield batch.slice(start, rows)
+        for start, length in parts_of(batch.column(batch.num_columns - 1), rows, most_bytes):
+            yield batch.slice(start, length)
 
 
 def texts_of(column: pa.Array) -> list[str]:

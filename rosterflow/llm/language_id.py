@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterflow.llm.common import col, learnable, replace_columns, ship, texts_of
+from rosterflow.llm.common import col, learnable, parts_of, replace_columns, ship, texts_of
 
 UNKNOWN = "und"
 LONGEST = 4
@@ -237,8 +237,8 @@ def identify_language(docs: DataFrame, model: LanguageModel, text_column: str =
         model = shared.value
         for batch in batches:
             names, scores = [], []
-            for start in range(0, len(batch), 2000):
-                best, p = model.predict(texts_of(batch[start : start + 2000]))
+            for start, length in parts_of(batch, 1000, 3 << 20):
+                best, p = model.predict(texts_of(batch.slice(start, length)))
                 names += [model.languages[b] if b >= 0 else UNKNOWN for b in best.tolist()]
                 scores.append(p)
             p = np.concatenate(scores) if scores else np.zeros(0)

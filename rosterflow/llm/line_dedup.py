@@ -103,7 +103,7 @@ def dropped_keys(keys: DataFrame, index: DataFrame, shards: int, least_docs: int
     # As many rows as there are shards.
     asked = saved(sharded.groupBy("shard").agg(F.count("*").alias("n")))
     mean = asked.agg(F.avg("n")).first()[0] or 0
-    unit = int(min(max(mean, 4096), most_probes))
+    unit = int(min(max(mean, 1024), most_probes))
     parts = asked.select("shard", F.ceil(F.col("n") / unit).alias("parts"))
     part_of = F.pmod(F.xxhash64("doc", F.lit(1)), F.col("parts")).alias("part")
     # Eight thousand shards make 128 KB; with more of them the sizes are joined by a shuffle.

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rosterflow.llm.boosting import BoostedTrees, fit_trees
-from rosterflow.llm.common import col, learnable, replace_columns, ship, texts_of
+from rosterflow.llm.common import col, learnable, parts_of, replace_columns, ship, texts_of
 
 # Kinds of bytes whose shares are features.
 KINDS = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789", " \t", "\n", ".", ",", "!", "?", "|", "#$%&*<>", "@/\\_=+~^{}[]", "'\"()-:;")
@@ -127,7 +127,8 @@ def score_quality(
     @F.arrow_udf("double")
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            rows = [text_statistics(t) for t in texts_of(batch)]
+            parts = (texts_of(batch.slice(*part)) for part in parts_of(batch, 500, 4 << 20))
+            rows = [text_statistics(t) for part in parts for t in part]
             yield pa.array(model.probability(np.array(rows).reshape(len(rows), N_STATISTICS)))
 
     scored = replace_columns(docs, {"score": score(col(text_column).cast("string"))})

@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterflow.llm.common import col, replace_columns, ship, texts_of
+from rosterflow.llm.common import col, parts_of, replace_columns, ship, texts_of
 
 SPACE_MARK = "▁"
 # Fixed values of the model format: kinds of model and kinds of piece.
@@ -228,8 +228,8 @@ def encode_pieces(docs: DataFrame, model_path: str, threads: int = 2, verify: bo
         own = codec(model_path, threads)
         for batch in batches:
             ids, same = [], []
-            for start in range(0, len(batch), 1000):
-                part = batch.slice(start, 1000)
+            for start, length in parts_of(batch, 1000, 4 << 20):
+                part = batch.slice(start, length)
                 texts, missing = texts_of(part), part.is_null().to_pylist()
                 packed = own.encode(texts)
                 parity = own.same_as_library(texts, packed) if verify else [None] * len(texts)
@@ -253,8 +253,8 @@ def decode_pieces(encoded: DataFrame, model_path: str, threads: int = 2, ids_col
         own = codec(model_path, threads)
         for batch in batches:
             out = []
-            for start in range(0, len(batch), 1000):
-                packed = batch.slice(start, 1000).to_pylist()
+            for start, length in parts_of(batch, 1000, 4 << 20):
+                packed = batch.slice(start, length).to_pylist()
                 texts = own.decode([p or b"" for p in packed])
                 out += [None if p is None else t for p, t in zip(packed, texts)]
             yield pa.array(out, pa.string())
