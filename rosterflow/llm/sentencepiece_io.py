@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import re
 import struct
+import sys
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cached_property
@@ -51,6 +53,14 @@ def message_fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
         at += size
 
 
+def pack(ids: list[int]) -> bytes:
+    """Ids as little-endian unsigned 32-bit numbers."""
+    packed = array("I", ids)
+    if packed.itemsize != 4 or sys.byteorder != "little":
+        return np.array(ids, dtype="<u4").tobytes()
+    return packed.tobytes()
+
+
 @dataclass
 class SentencePieceModel:
     """What a model file says; the defaults are those of the format."""
@@ -146,12 +156,14 @@ class PieceCodec:
     the start of a word; then the distinct words of a batch are encoded once. Other texts are encoded whole.
     """
 
-    def __init__(self, path: str, threads: int = 2):
+    def __init__(self, path: str, threads: int = 2, most_words: int = 250_000):
         os.environ.setdefault("RAYON_NUM_THREADS", str(threads))
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "true")
         with open(path, "rb") as file:
             self.model = SentencePieceModel.parse(file.read())
-        self.path = path
+        self.path, self.most_words = path, most_words
+        self.table: dict[str, bytes] = {}
+        self.odd: set[str] = set()
         self.tokenizer = self.model.tokenizer()
         plain = not self.model.charsmap and not self.model.squeeze_spaces
         inner = any(SPACE_MARK in p.lstrip(SPACE_MARK) for p, _, _ in self.model.pieces)
@@ -167,40 +179,96 @@ class PieceCodec:
         return sentencepiece.SentencePieceProcessor(model_file=self.path)
 
     def whole(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        packed = [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+        """Ids of each text as one; a few thousand at a time, since the library's results are large."""
+        packed = []
+        for start in range(0, len(texts), 4000):
+            found = self.tokenizer.encode_batch_fast(texts[start : start + 4000], add_special_tokens=False)
+            packed += [pack(e.ids) for e in found]
         if self.spelled:
             for i, text in enumerate(texts):
                 if self.spelled.search(text):
-                    packed[i] = np.array(self.library.encode(text), dtype="<u4").tobytes()
+                    packed[i] = pack(self.library.encode(text))
         return packed
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def of_words(self, words: list[str], verify: bool) -> list[bytes]:
+        """Ids of each distinct word, from a table of bounded size or anew; new words are held against the library."""
+        if len(self.table) > self.most_words:
+            self.table.clear()
+            self.odd.clear()
+        new = [w for w in words if w not in self.table]
+        packed = self.whole(new)
+        self.table.update(zip(new, packed))
+        if verify:
+            self.odd.update(w for w, same in zip(new, self.same_as_library(new, packed)) if not same)
+        return [self.table[w] for w in words]
+
+    def encode(self, texts: list[str], verify: bool = False) -> list[bytes]:
         """Ids of each text, packed little-endian and unsigned with 32 bits; an empty text has none."""
+        return self.encode_and_verify(texts, verify)[0]
+
+    def encode_and_verify(self, texts: list[str], verify: bool = True) -> tuple[list[bytes], list[bool]]:
+        """Ids of each text, and whether the sentencepiece library gives the same.
+
+        No piece reaches over the start of a word where texts are cut at words, so a text has parity
+        if each of its words has; other texts are compared whole.
+        """
         cut = [
             self.by_word and t[:1] != " " and t[-1:] != " " and "  " not in t and SPACE_MARK not in t for t in texts
         ]
-        whole = iter(self.whole([t for c, t in zip(cut, texts) if not c and t]))
+        others = [t for c, t in zip(cut, texts) if not c and t]
+        whole = self.whole(others)
+        same = self.same_as_library(others, whole) if verify else [True] * len(others)
+        rest = iter(zip(whole, same))
         split = pc.split_pattern(pa.array([t for c, t in zip(cut, texts) if c and t], pa.large_string()), " ")
+        parts = iter(())
         if len(split):
-            words = split.flatten().dictionary_encode()
-            ids = self.whole(words.dictionary.to_pylist())
+            coded = split.flatten().dictionary_encode()
+            words = coded.dictionary.to_pylist()
+            ids = self.of_words(words, verify)
             lengths = np.array([len(i) // 4 for i in ids], dtype=np.int64)
             pool, offsets = np.frombuffer(b"".join(ids), dtype="<u4"), np.cumsum(lengths) - lengths
-            codes = words.indices.to_numpy().astype(np.int64)
+            codes = coded.indices.to_numpy().astype(np.int64)
             n = lengths[codes]
             tops = np.cumsum(n)
-            taken = pool[np.repeat(offsets[codes] - (tops - n), n) + np.arange(tops[-1])]
-            ends = np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64))
-            parts = iter(np.split(taken, tops[ends - 1][:-1]))
-        return [(next(parts).tobytes() if c else next(whole)) if t else b"" for c, t in zip(cut, texts)]
+            taken = pool[np.repeat(offsets[codes] - (tops - n), n) + np.arange(tops[-1])].tobytes()
+            counts = pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64)
+            ends = np.cumsum(counts)
+            bytes_before = (4 * tops[ends - 1]).tolist()
+            odd = np.array([w in self.odd for w in words]) if self.odd else np.zeros(len(words), dtype=bool)
+            wrong = np.add.reduceat(odd[codes].astype(np.int64), ends - counts)
+            parts = iter([(taken[a:b], not w) for a, b, w in zip([0, *bytes_before[:-1]], bytes_before, wrong.tolist())])
+        found = [((next(parts) if c else next(rest)) if t else (b"", True)) for c, t in zip(cut, texts)]
+        return [p for p, _ in found], [s for _, s in found]
+
+    @cached_property
+    def spellings(self) -> list[bytes]:
+        """What each piece adds to a text."""
+        return [
+            bytes([int(p[3:5], 16)]) if kind == BYTE else p.replace(SPACE_MARK, " ").encode() for p, _, kind in self.model.pieces
+        ]
 
     def decode(self, packed: list[bytes]) -> list[str]:
-        return self.tokenizer.decode_batch([np.frombuffer(p, "<u4").tolist() for p in packed], skip_special_tokens=False)
+        """The texts that ids spell; ids whose bytes are no text go through the library, which marks what it can't spell."""
+        out = []
+        for ids in packed:
+            numbers = np.frombuffer(ids, "<u4").tolist()
+            spelled = b"".join([self.spellings[i] for i in numbers])
+            try:
+                text = spelled.decode("utf-8")
+            except UnicodeDecodeError:
+                text = self.tokenizer.decode(numbers, skip_special_tokens=False)
+            else:
+                text = text[1:] if self.model.dummy_prefix and text[:1] == " " else text
+            out.append(text)
+        return out
 
     def same_as_library(self, texts: list[str], packed: list[bytes]) -> list[bool]:
         """Whether the ids of each text are those of the sentencepiece library itself."""
-        return [np.array(self.library.encode(t), dtype="<u4").tobytes() == p for t, p in zip(texts, packed)]
+        same = []
+        for start in range(0, len(texts), 4000):
+            found = self.library.encode(texts[start : start + 4000], num_threads=1)
+            same += [pack(ids) == p for ids, p in zip(found, packed[start:])]
+        return same
 
 
 _codecs: dict[tuple[str, int], PieceCodec] = {}
@@ -216,8 +284,8 @@ def codec(path: str, threads: int) -> PieceCodec:
 def encode_pieces(docs: DataFrame, model_path: str, threads: int = 2, verify: bool = True, text_column: str = "text") -> DataFrame:
     """``docs`` with ``ids`` (packed little-endian unsigned 32-bit), ``n_ids`` and ``parity``.
 
-    ``model_path`` must be readable on each executor, as files shipped with the application are. ``parity`` tells whether the sentencepiece
-    library gives the same ids for the whole text; it is null unless ``verify``. A null text has null ids, a null
+    ``model_path`` must be readable on each executor, as files shipped with the application are. ``parity`` tells whether the
+    sentencepiece library gives the same ids; it is null unless ``verify``. A null text has null ids, a null
     number and null parity; an empty one has none, 0 and true. Rows stand for themselves. Columns named like the new
     ones are replaced. An empty table stays empty.
     """
@@ -231,8 +299,8 @@ def encode_pieces(docs: DataFrame, model_path: str, threads: int = 2, verify: bo
             for start, length in parts_of(batch, 1000, 4 << 20):
                 part = batch.slice(start, length)
                 texts, missing = texts_of(part), part.is_null().to_pylist()
-                packed = own.encode(texts)
-                parity = own.same_as_library(texts, packed) if verify else [None] * len(texts)
+                packed, parity = own.encode_and_verify(texts, verify)
+                parity = parity if verify else [None] * len(texts)
                 ids += [None if m else p for m, p in zip(missing, packed)]
                 same += [None if m else p for m, p in zip(missing, parity)]
             sizes = [None if i is None else len(i) // 4 for i in ids]
