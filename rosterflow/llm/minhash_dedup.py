@@ -300,8 +300,11 @@ def near_duplicates(
 
 
 def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``docs`` without the rows that ``near_duplicates`` would not keep."""
+    """``docs`` without the documents that ``near_duplicates`` would not keep.
+
+    Rows that share an id are one document here: they stay or go together, and stay if one of them is to be kept.
+    """
     found = near_duplicates(docs, words, percent, id_column=id_column, text_column=text_column)
     name = free_name(docs.columns, "lost_id")
-    lost = found.filter(~F.col("kept")).select(col(id_column).alias(name)).distinct()
+    lost = found.groupBy(col(id_column).alias(name)).agg(F.bool_or("kept").alias("any")).filter("NOT any").drop("any")
     return docs.join(lost, col(id_column).cast("long") == F.col(name), "left_anti")

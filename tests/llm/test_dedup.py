@@ -168,6 +168,12 @@ def test_near_duplicates_of_odd_documents(odd_docs, no_docs):
     assert near_duplicates(no_docs).count() == 0
 
 
+def test_other_text_of_a_repeated_id_is_not_lost(spark):
+    rows = [(3, "one two three four"), (5, "one two three four"), (5, "something else entirely here"), (6, "one two three four")]
+    kept = drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 2)
+    assert sorted(map(tuple, kept.collect())) == rows[:3]
+
+
 def test_sets_and_estimates(prose):
     texts = [prose(1, 400), prose(1, 400) + " more words here", prose(2, 400), "one two three four five six seven", "a b"]
     sets = [shingles(t, 2) for t in texts]
