@@ -156,7 +156,7 @@ class PieceCodec:
     the start of a word; then the distinct words of a batch are encoded once. Other texts are encoded whole.
     """
 
-    def __init__(self, path: str, threads: int = 2, most_words: int = 250_000):
+    def __init__(self, path: str, threads: int = 2, most_words: int = 100_000):
         os.environ.setdefault("RAYON_NUM_THREADS", str(threads))
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "true")
         with open(path, "rb") as file:
@@ -295,18 +295,18 @@ def encode_pieces(docs: DataFrame, model_path: str, threads: int = 2, verify: bo
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = codec(model_path, threads)
         for batch in batches:
-            ids, same = [], []
-            for start, length in parts_of(batch, 1000, 4 << 20):
+            # What is given back in small parts need not be held for a whole batch.
+            for start, length in parts_of(batch, 1000, 2 << 20):
                 part = batch.slice(start, length)
                 texts, missing = texts_of(part), part.is_null().to_pylist()
                 packed, parity = own.encode_and_verify(texts, verify)
                 parity = parity if verify else [None] * len(texts)
-                ids += [None if m else p for m, p in zip(missing, packed)]
-                same += [None if m else p for m, p in zip(missing, parity)]
-            sizes = [None if i is None else len(i) // 4 for i in ids]
-            yield pa.StructArray.from_arrays(
-                [pa.array(ids, pa.binary()), pa.array(sizes, pa.int64()), pa.array(same, pa.bool_())], ["ids", "n", "parity"]
-            )
+                ids = [None if m else p for m, p in zip(missing, packed)]
+                same = [None if m else p for m, p in zip(missing, parity)]
+                sizes = [None if i is None else len(i) // 4 for i in ids]
+                yield pa.StructArray.from_arrays(
+                    [pa.array(ids, pa.binary()), pa.array(sizes, pa.int64()), pa.array(same, pa.bool_())], ["ids", "n", "parity"]
+                )
 
     found = encode(col(text_column).cast("string"))
     return replace_columns(docs, {"ids": found["ids"], "n_ids": found["n"], "parity": found["parity"]})
@@ -320,11 +320,9 @@ def decode_pieces(encoded: DataFrame, model_path: str, threads: int = 2, ids_col
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = codec(model_path, threads)
         for batch in batches:
-            out = []
-            for start, length in parts_of(batch, 1000, 4 << 20):
+            for start, length in parts_of(batch, 1000, 2 << 20):
                 packed = batch.slice(start, length).to_pylist()
                 texts = own.decode([p or b"" for p in packed])
-                out += [None if p is None else t for p, t in zip(packed, texts)]
-            yield pa.array(out, pa.string())
+                yield pa.array([None if p is None else t for p, t in zip(packed, texts)], pa.string())
 
     return replace_columns(encoded, {"decoded": decode(col(ids_column))})
