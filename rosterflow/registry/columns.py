@@ -104,16 +104,19 @@ def tables_by_name(spark: SparkSession, sf: str) -> DataFrame:
     return blank_nulls(union_by_name(by_sql, by_attribute))
 
 
-@query(
-    """
-SELECT * FROM (VALUES
-  (1, 'l_orderkey', 'bigint', 'INTEGER'), (2, 'l_partkey', 'bigint', 'INTEGER'), (3, 'l_suppkey', 'bigint', 'INTEGER'),
-  (4, 'l_linenumber', 'bigint', 'INTEGER'), (5, 'l_quantity', 'double', 'FLOAT'),
-  (6, 'l_extendedprice', 'double', 'FLOAT'), (7, 'l_discount', 'double', 'FLOAT'), (8, 'l_tax', 'double', 'FLOAT'),
-  (9, 'l_returnflag', 'string', 'VARCHAR'), (10, 'l_linestatus', 'string', 'VARCHAR'),
-  (11, 'l_shipdate', 'string', 'VARCHAR')) AS t(position, name, type, declared_type)
-"""
-)
+LINE_COLUMNS = (
+    "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus l_shipdate"
+).split()
+
+# Per column, the widest of whole number, number and text among the texts of all rows.
+KIND_OF_COLUMN = """
+SELECT {0} AS position, '{1}' AS name, ['bigint', 'double', 'string'][1 + widest] AS type,
+       ['INTEGER', 'FLOAT', 'VARCHAR'][1 + widest] AS declared_type
+FROM (SELECT max(CASE WHEN regexp_full_match(v, '[+-]?[0-9]+') THEN 0 WHEN TRY_CAST(v AS DOUBLE) IS NOT NULL THEN 1 ELSE 2 END) AS widest
+      FROM (SELECT CAST({1} AS VARCHAR) AS v FROM lineitem))"""
+
+
+@query(" UNION ALL ".join(KIND_OF_COLUMN.format(i, name) for i, name in enumerate(LINE_COLUMNS, start=1)))
 def describe_columns(spark: SparkSession, sf: str) -> DataFrame:
     """Column types found in the text of every row, and the type a table would declare."""
     typed = type_text_columns(all_strings(table(spark, sf, "lineitem")))
