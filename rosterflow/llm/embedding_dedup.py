@@ -16,6 +16,8 @@ from rosterflow.llm.flat_graph import build_graph, medoid, range_search
 
 #: Rows of a shard that share one graph, and rows that search it in one task.
 PART = 3000
+#: What rounding may add to the products of unit vectors that tell how far a border is.
+ROUNDING = 1e-7
 
 
 def unit_vectors(vectors: DataFrame, id_column: str, vector_column: str, label_column: str) -> DataFrame:
@@ -59,41 +61,50 @@ def centres(sample: np.ndarray, k: int, rounds: int = 10) -> np.ndarray:
 
 
 def shard_members(classes: DataFrame, centre: np.ndarray, reach: float) -> DataFrame:
-    """(label, cluster, home, id, copies, unit) of each class for every cluster that it is in or near.
+    """(label, cluster, homed, id, copies, unit, shards) of each class for every cluster that it is in or near.
+
+    ``homed`` is the cluster it is in, and the row there names all of them as ``shards``.
 
     A class is near a cluster if it lies within ``reach`` of the plane halfway between that cluster's centre and its
     own. Vectors of another length than the centres' go to clusters of their own, by length.
     """
     schema = pa.schema(
-        [("label", pa.string()), ("cluster", pa.int64()), ("home", pa.bool_()), ("id", pa.int64()), ("copies", pa.int64()), ("unit", pa.binary())]
-    )
+        [
+            ("label", pa.string()), ("cluster", pa.int64()), ("homed", pa.int64()), ("id", pa.int64()), ("copies", pa.int64()),
+            ("unit", pa.binary()), ("shards", pa.list_(pa.int64())),
+        ]
+    )
     k, width = centre.shape
-    between = np.sqrt(np.maximum(1e-18, 2 - 2 * centre @ centre.T))
+    between = np.sqrt(np.maximum(0.0, 2 - 2 * centre @ centre.T))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             units = batch.column(3).to_pylist()
             own = np.array([len(u) == 8 * width for u in units])
-            rows, clusters, home = [], [], []
+            rows, clusters, homed, shards = [], [], [], []
             if own.any():
                 at = np.flatnonzero(own)
                 v = np.frombuffer(b"".join(units[i] for i in at.tolist())).reshape(-1, width)
                 score = v @ centre.T
                 best = score.argmax(axis=1)
-                gap = (score[np.arange(len(v)), best][:, None] - score) / between[best]
-                row, cluster = np.nonzero((gap <= reach) | (np.arange(k) == best[:, None]))
-                rows, clusters, home = at[row], cluster, cluster == best[row]
+                gap = score[np.arange(len(v)), best][:, None] - score
+                row, cluster = np.nonzero((gap <= reach * between[best] + ROUNDING) | (np.arange(k) == best[:, None]))
+                rows, clusters, homed = at[row], cluster, best[row]
+                ends = np.searchsorted(row, np.arange(len(v) + 1))
+                shards = [cluster[ends[r] : ends[r + 1]].tolist() if c == best[r] else None for r, c in zip(row, cluster)]
             other = np.flatnonzero(~own)
             rows = np.concatenate([rows, other]).astype(np.int64)
-            clusters = np.concatenate([clusters, [-len(units[i]) for i in other.tolist()]]).astype(np.int64)
-            home = np.concatenate([home, np.ones(len(other))]).astype(bool)
+            lengths = [-len(units[i]) for i in other.tolist()]
+            clusters = np.concatenate([clusters, lengths]).astype(np.int64)
+            homed = np.concatenate([homed, lengths]).astype(np.int64)
+            shards = pa.array(shards + [[x] for x in lengths], pa.list_(pa.int64()))
             taken = batch.take(pa.array(rows))
             yield pa.RecordBatch.from_arrays(
-                [taken.column(0), pa.array(clusters), pa.array(home), taken.column(1), taken.column(2), taken.column(3)], schema=schema
+                [taken.column(0), pa.array(clusters), pa.array(homed), taken.column(1), taken.column(2), taken.column(3), shards], schema=schema
             )
 
     return classes.select("label", "id", "copies", "unit").mapInArrow(
-        place, "label string, cluster long, home boolean, id long, copies long, unit binary"
+        place, "label string, cluster long, homed long, id long, copies long, unit binary, shards array<long>"
     )
 
 
@@ -116,6 +127,8 @@ def searched(members: DataFrame, queries: DataFrame, least: float, audit_every:
     """(id, links, root, repaired) per query and part: how many vectors of the part are linked with the class, and the smallest
     id that links inside the task join it with.
 
+    A link with a class whose own home shard lacks the query is counted for that class as well, in a row of the class.
+
     One query in ``audit_every`` is also compared with the whole part. If the search has missed any link of theirs, the
     part is compared with all queries of the task.
     """
@@ -150,23 +163,32 @@ def searched(members: DataFrame, queries: DataFrame, least: float, audit_every:
                 i = up
             return i
 
-        links = []
-        for i, hits in zip(asked.tolist(), found):
+        homed, cluster = part["homed"].to_numpy(), asking["asked_cluster"][0].as_py()
+        links, back = [], np.zeros(len(ids), dtype=np.int64)
+        for i, hits, shards, weight in zip(asked.tolist(), found, asking["asked_shards"].to_pylist(), asking["asked_copies"].to_pylist()):
             others = ids[hits]
             links.append(int(copies[hits][others != i].sum()))
+            away = hits[(homed[hits] != cluster) & (others != i)]
+            back[away[~np.isin(homed[away], shards)]] += weight
             a = top(i)
             for b in set(map(top, others.tolist())):
                 low, high = min(a, b), max(a, b)
                 root[high] = low
                 a = low
+        told = np.flatnonzero(back)
+        named = asked.tolist() + ids[told].tolist()
+        roots = [top(i) for i in asked.tolist()] + ids[told].tolist()
         return pa.table(
-            [pa.array(asked), pa.array(links, pa.int64()), pa.array([top(i) for i in asked.tolist()], pa.int64()), pa.array([repaired] * len(asked))],
+            [
+                pa.array(named, pa.int64()), pa.array(links + back[told].tolist(), pa.int64()), pa.array(roots, pa.int64()),
+                pa.array([repaired] * len(asked) + [False] * len(told)),
+            ],
             schema=schema,
-        )
+        )
 
     # New names: both sides come from the same rows, which a join by group cannot tell apart.
-    asking = queries.select([F.col(c).alias(f"asked_{c}") for c in ("label", "cluster", "part", "block")] + ["id", "unit"])
-    asking = asking.withColumnsRenamed({"id": "asked_id", "unit": "asked_unit"})
+    asking = queries.select([F.col(c).alias(f"asked_{c}") for c in ("label", "cluster", "part", "block")] + ["id", "unit", "copies", "shards"])
+    asking = asking.withColumnsRenamed({c: f"asked_{c}" for c in ("id", "unit", "copies", "shards")})
     return (
         asking.groupBy("asked_label", "asked_cluster", "asked_part", "asked_block")
         .cogroup(members.groupBy("label", "cluster", "part", "block"))
@@ -193,8 +215,9 @@ def near_duplicate_vectors(
 
     Vectors of one direction make a class; copies stop there and are only counted. Clusters come from at most
     ``most_sample`` classes (and no more than 32 MB of them), about ``shard_rows`` classes of the largest label to a cluster. A class also
-    enters shards of clusters whose border it is near; within ``reach``, half the distance of linked vectors unless given, that
-    holds every pair whose way across the border is no longer. Each part of a shard gets a robust-pruned graph, the
+    enters shards of clusters whose border it is near, within ``reach``. That is half the distance of linked vectors unless given, so
+    that of two linked classes one at least is in the home shard of the other, which then counts the link for both; a
+    smaller one loses links. Each part of a shard gets a robust-pruned graph, the
     adjacency lists of a class are united, and each class searches the graphs of its home shard from their medoids,
     expanding over the range. A sample of searches is audited against all rows of the part, and
     a part with a miss is scanned (``repaired``). Every link counted has been verified by its cosine.
@@ -204,7 +227,7 @@ def near_duplicate_vectors(
     no link; without an id the component is null and the row is kept. Vectors of different lengths are never linked.
     Ids should be unique: rows of a repeated id count one by one, and each gets the id's result. An empty table gives none.
     """
-    reach = np.sqrt(2 - 2 * least) / 2 if reach is None else reach
+    reach = np.sqrt(max(0.0, 2 - 2 * least)) / 2 if reach is None else reach
     units = saved(unit_vectors(vectors, id_column, vector_column, label_column))
     classes = saved(
         units.groupBy("label", "hi", "lo").agg(F.min("id").alias("id"), F.count("*").alias("copies"), F.first("unit").alias("unit"))
@@ -220,15 +243,15 @@ def near_duplicate_vectors(
     members = saved(shard_members(classes, centre, float(reach)))
 
     shard = ["label", "cluster"]
-    sizes = members.groupBy(*shard).agg(F.count("*").alias("n"), F.count_if("home").alias("n_home"))
+    sizes = members.groupBy(*shard).agg(F.count("*").alias("n"), F.count_if(F.col("homed") == F.col("cluster")).alias("n_home"))
     sizes = sizes.select(*shard, F.ceil(F.col("n") / PART).alias("parts"), F.ceil(F.col("n_home") / PART).alias("blocks")).filter("blocks > 0")
     placed = members.join(sizes, shard).withColumn("part", F.pmod(F.xxhash64("id", F.lit(2)), "parts"))
     near = adjacency(placed)
     indexed = placed.join(near, ["label", "id"]).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    queries = placed.filter("home").withColumn("block", F.pmod(F.xxhash64("id", F.lit(3)), "blocks"))
+    queries = placed.filter("homed = cluster").withColumn("block", F.pmod(F.xxhash64("id", F.lit(3)), "blocks"))
     queries = queries.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    asked = [*shard, "part", "block", "id", "unit"]
-    hits = saved(searched(indexed.select(*asked, "copies", "near"), queries.select(*asked), least, audit_every))
+    asked = [*shard, "part", "block", "id", "unit", "copies"]
+    hits = saved(searched(indexed.select(*asked, "homed", "near"), queries.select(*asked, "shards"), least, audit_every))
     labels = connected_components(hits.filter("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b")))
     labels = labels.withColumnRenamed("label", "reached")
     counted = hits.groupBy("id").agg(F.sum("links").alias("links"), F.max("repaired").alias("repaired"))

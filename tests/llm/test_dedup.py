@@ -246,6 +246,26 @@ def test_vectors_as_by_search(spark):
         assert all(x["kept"] == (x["vec_id"] == x["component_id"]) for x in found)
 
 
+def arcs():
+    """Rows of vectors along circles in 32 planes, each linked only with the ones before and after it, under shuffled ids."""
+    r = np.random.default_rng(12)
+    rows, ids = [], iter(r.permutation(10**4).tolist())
+    for plane in range(32):
+        start = r.uniform(0, 6)
+        for k in range(20):
+            v = np.zeros(64)
+            v[2 * plane], v[2 * plane + 1] = np.cos(start + 0.19 * k), np.sin(start + 0.19 * k)
+            rows.append((next(ids), v.tolist(), 1))
+    return rows
+
+
+def test_groups_across_borders_have_all_links(spark):
+    rows = arcs()
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    found = near_duplicate_vectors(df, shard_rows=10).collect()
+    assert {x["vec_id"]: x["n_links"] for x in found} == {i: n for i, (n, _) in slow_vectors(rows).items()}
+
+
 def test_vectors_without_id_repeated_or_none(spark):
     schema = "vec_id long, embedding array<double>, label int"
     rows = [(None, [1.0, 0.0], 1), (3, [1.0, 0.0], 1), (3, [1.0, 0.0], 1), (4, [1.0, 0.01], 1)]
