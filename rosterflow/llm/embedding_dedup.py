@@ -127,7 +127,8 @@ def searched(members: DataFrame, queries: DataFrame, least: float, audit_every:
     """(id, links, root, repaired) per query and part: how many vectors of the part are linked with the class, and the smallest
     id that links inside the task join it with.
 
-    A link with a class whose own home shard lacks the query is counted for that class as well, in a row of the class.
+    A class of the part that was found gets a row too if links join it with a smaller id, or if its own home shard lacks
+    queries that are linked with it; those are counted there.
 
     One query in ``audit_every`` is also compared with the whole part. If the search has missed any link of theirs, the
     part is compared with all queries of the task.
@@ -175,9 +176,10 @@ def searched(members: DataFrame, queries: DataFrame, least: float, audit_every:
                 low, high = min(a, b), max(a, b)
                 root[high] = low
                 a = low
-        told = np.flatnonzero(back)
+        joined = np.isin(ids, np.fromiter(root, np.int64, len(root))) & ~np.isin(ids, asked)
+        told = np.flatnonzero((back > 0) | joined)
         named = asked.tolist() + ids[told].tolist()
-        roots = [top(i) for i in asked.tolist()] + ids[told].tolist()
+        roots = [top(i) for i in named]
         return pa.table(
             [
                 pa.array(named, pa.int64()), pa.array(links + back[told].tolist(), pa.int64()), pa.array(roots, pa.int64()),

@@ -266,6 +266,13 @@ def test_groups_across_borders_have_all_links(spark):
     assert {x["vec_id"]: x["n_links"] for x in found} == {i: n for i, (n, _) in slow_vectors(rows).items()}
 
 
+def test_links_found_from_one_side_join_components(spark):
+    rows = arcs()
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    found = near_duplicate_vectors(df, shard_rows=10).collect()
+    assert {x["vec_id"]: x["component_id"] for x in found} == {i: c for i, (_, c) in slow_vectors(rows).items()}
+
+
 def test_vectors_without_id_repeated_or_none(spark):
     schema = "vec_id long, embedding array<double>, label int"
     rows = [(None, [1.0, 0.0], 1), (3, [1.0, 0.0], 1), (3, [1.0, 0.0], 1), (4, [1.0, 0.01], 1)]
