@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 TOKEN = re.compile(
@@ -18,7 +19,9 @@ BLOCKS = set(
 )
 ENDS_PARAGRAPH = BLOCKS - {"html", "body", "caption", "thead", "tbody", "tfoot", "tr", "td", "th", "dt", "dd", "li", "legend"} | {"hr"}
 RAW = ("script", "style", "title", "textarea", "iframe", "noembed", "noframes", "xmp")
-SKIPPED = set("head noscript template svg math select button object canvas audio video datalist map".split())
+SKIPPED = set("noscript template svg math select button object canvas audio video datalist map".split())
+# Tags that may stand in a head; others end one whose own end is left out.
+IN_HEAD = set("html head base basefont bgsound link meta title style script noscript template noframes".split())
 BREAKS = {"br", "hr", "wbr", "img", "input"}
 # An element that ends open ones of these kinds, up to one of those.
 CLOSES = {
@@ -57,13 +60,51 @@ def attributes_of(source: str) -> dict[str, str]:
     return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(source)}
 
 
+def skipped_ends(page: str) -> dict[int, int]:
+    """Where each closed element of ``SKIPPED`` ends, by the end of its start tag. One that is still open when a block around it closes is not closed."""
+    ends: dict[int, int] = {}
+    stack: list[tuple[str, int]] = []
+    held: Counter[str] = Counter()
+    at = 0
+    while match := TOKEN.search(page, at):
+        at = match.end()
+        if not match[2]:
+            continue
+        ending, tag = match[1] == "/", match[2].lower()
+        if not ending and tag in RAW:
+            end = RAW_END[tag].search(page, at)
+            at = end.end() if end else len(page)
+        elif not ending and tag == "body":
+            stack, held = [(tag, at)], Counter((tag,))
+        elif not (tag in SKIPPED or tag in BLOCKS or tag == "head"):
+            continue
+        elif not ending:
+            if tag not in SKIPPED or not match[3].endswith("/"):
+                stack.append((tag, at))
+                held[tag] += 1
+        elif held[tag]:
+            while True:
+                name, start = stack.pop()
+                held[name] -= 1
+                if name == tag:
+                    break
+            if tag in SKIPPED:
+                ends[start] = at
+    return ends
+
+
 def parse_page(page: str) -> Tree:
-    """The tree of a page; any text is a page, however its tags are broken."""
+    """The tree of a page; any text is a page, however its tags are broken.
+
+    A head ends at its end tag or at the first tag or text that cannot stand in it. An element of ``SKIPPED`` without an end
+    tag before its enclosing block closes is left out up to the next tag of a block.
+    """
     tree = Tree()
     open_nodes = [tree.add(-1, "#page", {})]
     run: list[tuple[str, bool]] = []
     links = 0
-    skips: list[str] = []
+    in_head = unclosed = False
+    ends: dict[int, int] | None = None
 
     def flush() -> None:
         if run:
@@ -91,30 +132,33 @@ def parse_page(page: str) -> Tree:
     while at < size:
         match = TOKEN.search(page, at)
         start = match.start() if match else size
-        if start > at and not skips:
-            run.append((page[at:start], links > 0))
+        if start > at and not unclosed:
+            in_head = in_head and page[at:start].isspace()
+            if not in_head:
+                run.append((page[at:start], links > 0))
         if not match:
             break
         at = match.end()
         if not match[2]:
             continue
         ending, tag = match[1] == "/", match[2].lower()
-        if skips:
-            if tag == skips[-1] and not match[3].endswith("/"):
-                skips.pop() if ending else skips.append(tag)
-            elif tag == "body" and skips[-1] == "head":
-                skips.clear()
-            elif not ending and tag in RAW:
-                end = RAW_END[tag].search(page, at)
-                at = end.end() if end else size
-            if tag != "body":
-                continue
-        if not ending and tag in RAW:
+        if in_head and (tag in ("head", "body", "html", "br") if ending else tag not in IN_HEAD):
+            in_head = False
+        if unclosed and (tag in BLOCKS or tag == "head"):
+            unclosed = False
+        if tag == "head":
+            in_head = not ending
+        elif not ending and tag in RAW:
             end = RAW_END[tag].search(page, at)
             at = end.end() if end else size
         elif not ending and tag in SKIPPED:
             if not match[3].endswith("/"):
-                skips.append(tag)
+                if ends is None:
+                    ends = skipped_ends(page)
+                if at in ends:
+                    at = ends[at]
+                else:
+                    unclosed = True
         elif tag == "a":
             links = 0 if ending else 1
         elif tag in BREAKS:

@@ -131,6 +131,24 @@ def test_extraction_of_hand_made_pages(page, text):
     assert default_model().main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<head><title>x</title><p>Article", ["Article"]),
+        ("<html><head><meta charset=u><title>x</title>Plain <b>text</b>.", ["Plain text."]),
+        ("<head><noscript><link></head><body><p>One<noscript>no</noscript></p>", ["One"]),
+        ("<head><title>x</title></head><body><p>One<button>no<b>no</b></p><p>Two</p></body>", ["One", "Two"]),
+        ("<body><select><option>no<p>One<p>Two", ["One", "Two"]),
+        ("<body><div><object><p>One</p></div><p>Two</p><object><p>no</p></object>", ["One", "Two"]),
+        ("<ul><li>One<button>no<li>Two</ul><p>Three</p>", ["One", "Two", "Three"]),
+        ("<p>One</p><template><ul><li>no</li></ul><svg>no</svg></template><canvas><p>no</canvas><p>Two", ["One", "Two"]),
+    ],
+)
+def test_open_heads_and_skipped_elements_lose_no_text(page, text):
+    tree = parse_page(page)
+    assert [t for t, tag in zip(tree.text, tree.tag) if tag == "#text"] == text
+
+
 def test_extraction_of_odd_pages(spark):
     odd = [None, "", "<", "<p", "</div></p>", "<a href='x", "<![CDATA[ x ]]>", "<script>", "<p>" * 3000, "<div>" * 500 + "x", "plain text", "&#0;&bogus;&#x110000;"]
     pages = spark.createDataFrame([(i, None, p, "t", 1) for i, p in enumerate(odd)], "page_id long, url string, html string, TEXT string, n_chars int")
