@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rosterflow.llm.common import col, learnable, parts_of, replace_columns, ship, texts_of
@@ -161,6 +162,7 @@ def train(
 def fit_language(
     docs: DataFrame,
     most_rows: int = 3_000,
+    least_rows: int = 20,
     pieces: int = 8,
     wrong_rejects: float = 0.001,
     id_column: str = "doc_id",
@@ -169,8 +171,9 @@ def fit_language(
 ) -> LanguageModel:
     """A model of the languages of a bounded sample of labelled rows.
 
-    ``most_rows`` rows with a language that may be learnt from (``learnable``) are taken, in the
-    order of a hash of their id, and at most ``pieces`` pieces of 3 to 24 words of each reach the
+    Every language of a row that may be learnt from (``learnable``) is known to the model. Of each, equal shares of
+    ``most_rows`` texts are taken, but ``least_rows`` if a share is smaller, each text once, in the
+    order of a hash of the id, and at most ``pieces`` pieces of 3 to 24 words of each reach the
     driver. A fifth of them sets the temperature of the probabilities and the probability below which
     a prediction is rejected: the largest that rejects at most ``wrong_rejects`` of the right ones.
     Without any such row the model knows no language and predicts none.
@@ -186,8 +189,10 @@ def fit_language(
         col(id_column).alias("id"), col(text_column).cast("string").alias("t"), col(label_column).cast("string").alias("y")
     ).filter(F.col("t").isNotNull() & F.col("y").isNotNull() & learnable(F.col("id")))
     # Only ids and hashes of texts are sorted; whole texts of the sample alone go to the cutting.
-    picked = known.select("id", "y", F.xxhash64("t").alias("h")).distinct()
-    sample = picked.orderBy(F.xxhash64("id"), "id", "y", "h").limit(most_rows)
+    picked = known.groupBy("y", F.xxhash64("t").alias("h")).agg(F.min("id").alias("id"))
+    share = max(least_rows, most_rows // max(1, known.select("y").distinct().count()))
+    turn = F.row_number().over(Window.partitionBy("y").orderBy(F.xxhash64("id"), "id", "h"))
+    sample = picked.withColumn("turn", turn).filter(F.col("turn") <= share).drop("turn")
     rows = (
         known.withColumn("h", F.xxhash64("t"))
         .join(F.broadcast(sample), ["id", "y", "h"])
@@ -200,7 +205,11 @@ def fit_language(
     if not languages:
         return LanguageModel([], np.zeros((2, 0)), np.zeros(0), 1.0, 0.0)
     index = {name: i for i, name in enumerate(languages)}
-    parts = [(p, index[r["y"]], i % 5 == 4) for i, r in enumerate(rows) for p in r["p"]]
+    turns: Counter[str] = Counter()
+    parts = []
+    for r in rows:
+        parts += [(p, index[r["y"]], turns[r["y"]] % 5 == 4) for p in r["p"]]
+        turns[r["y"]] += 1
     learn = [p for p in parts if not p[2]] or parts
     check = [p for p in parts if p[2]] or parts
     if not parts:

@@ -79,6 +79,13 @@ def test_language_on_held_out_documents(docs):
     assert np.mean([r["rejected"] for r in rows]) < 0.03
 
 
+def test_rare_languages_are_learnt(spark, prose):
+    rows = [(i, prose(i, 40), "common") for i in range(600)] + [(1000 + i, "one and the same text", "copies") for i in range(600)]
+    rows += [(2000 + i, f"zuxq vyxzu quzvyx{i} xuzyq vuzqy", "rare") for i in range(8)]
+    model = fit_language(spark.createDataFrame(rows, "doc_id long, text string, lang string"), most_rows=60)
+    assert model.languages == ["common", "copies", "rare"]
+
+
 def test_language_of_odd_documents(odd_docs, no_docs, docs):
     model = fit_language(docs)
     rows = identify_language(odd_docs, model).collect()
