@@ -18,6 +18,7 @@ from rosterflow.llm.minhash_dedup import near_duplicates
 from rosterflow.llm.packing import pack_documents
 from rosterflow.llm.quality_model import fit_quality, score_quality
 from rosterflow.llm.sentencepiece_io import decode_pieces, encode_pieces
+from rosterflow.llm.url_rules import judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -158,3 +159,40 @@ def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all vectors of equal labels."""
     found = near_duplicate_vectors(table(spark, sf_dir, "embeddings"), least=0.98)
     return found.select("vec_id", "n_links", "component_id", "kept")
+
+
+# The rules that the query applies.
+URL_RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+
+
+@query(
+    """
+WITH rules(rule_host, rule_path, rule_verdict) AS (VALUES
+    ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')
+), rest AS (
+    SELECT page_id, url, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), parts AS (
+    SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+           row_number() OVER () AS place
+    FROM rest
+), best AS (
+    SELECT place, arg_max(rule_host || rule_path, length(rule_host) + length(rule_path)) AS rule,
+           arg_max(rule_verdict, length(rule_host) + length(rule_path)) AS verdict
+    FROM parts JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+    GROUP BY place
+)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM parts LEFT JOIN best USING (place)
+"""
+)
+def op11_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on the URL of every page."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    judged = judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
