@@ -16,6 +16,7 @@ from rosterflow.llm.license_scan import scan_licenses
 from rosterflow.llm.line_rules import fit_lines, judge_lines
 from rosterflow.llm.minhash_dedup import near_duplicates
 from rosterflow.llm.packing import pack_documents
+from rosterflow.llm.prefix_trie import prefix_trie
 from rosterflow.llm.quality_model import fit_quality, score_quality
 from rosterflow.llm.sentencepiece_io import decode_pieces, encode_pieces
 from rosterflow.llm.url_rules import judge_urls
@@ -196,3 +197,9 @@ def op11_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     judged = judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
     return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+@query()
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of rebuilt conversations."""
+    return prefix_trie(table(spark, sf_dir, "conversations"))
