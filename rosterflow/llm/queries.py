@@ -19,6 +19,7 @@ from rosterflow.llm.packing import pack_documents
 from rosterflow.llm.prefix_trie import prefix_trie
 from rosterflow.llm.quality_model import fit_quality, score_quality
 from rosterflow.llm.sentencepiece_io import decode_pieces, encode_pieces
+from rosterflow.llm.turn_repair import damaged, repair_conversations
 from rosterflow.llm.url_rules import judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -203,3 +204,10 @@ def op11_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every node of the trie of rebuilt conversations."""
     return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+@query()
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of every conversation after damage, and the cheapest edits that repair it."""
+    conversations = table(spark, sf_dir, "conversations")
+    return repair_conversations(damaged(conversations), ids=conversations)

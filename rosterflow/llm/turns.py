@@ -24,24 +24,24 @@ def n_words(text: Column) -> Column:
     return F.regexp_count(text, F.lit(r"[^ \t\n\x0B\f\r]+")).cast("long")
 
 
-def placed(turns: DataFrame, *then: str) -> DataFrame:
+def placed(turns: DataFrame, *then: str, by: tuple[str, ...] = ("conv_id",)) -> DataFrame:
     """``turns`` with ``place``, from 1, in the order of ``turn`` (nulls first) and then of other columns.
 
-    ``turns`` needs ``conv_id`` without nulls; it should be narrow. Rows are dealt by ranges of the order and
+    ``by`` tells conversations apart and has no nulls; ``turns`` should be narrow. Rows are dealt by ranges of the order and
     numbered where they lie; what went before in other parts is added from one count per part and
     conversation, so no conversation has to fit into one task. The numbered rows are saved once,
     which keeps the numbers when a task is run again.
     """
-    order = [F.col("conv_id").asc(), F.col("turn").asc_nulls_first(), *[F.col(c).asc() for c in then]]
+    order = [*[F.col(c).asc() for c in by], F.col("turn").asc_nulls_first(), *[F.col(c).asc() for c in then]]
     dealt = turns.repartitionByRange(*order).sortWithinPartitions(*order)
     dealt = saved(dealt.withColumn("_seq", F.monotonically_increasing_id()))
     part = F.shiftright("_seq", 33).alias("_part")
-    spans = dealt.groupBy("conv_id", part).agg(F.min("_seq").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    earlier = Window.partitionBy("conv_id").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    before = spans.select("conv_id", "_part", (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_shift"))
+    spans = dealt.groupBy(*by, part).agg(F.min("_seq").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = spans.select(*by, "_part", (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_shift"))
     return (
         dealt.withColumn("_part", part)
-        .join(before, ["conv_id", "_part"])
+        .join(before, [*by, "_part"])
         .withColumn("place", F.col("_seq") + F.col("_shift"))
         .drop("_seq", "_part", "_shift")
     )
