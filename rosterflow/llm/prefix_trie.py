@@ -40,7 +40,7 @@ def shared_prefixes(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     borrowed = F.when(base == conv_id, 0).otherwise(F.crc32(conv_id.cast("string").cast("binary")) % 4)
     sizes = rows.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n")).select("*", base.alias("base_id"), borrowed.alias("h"))
     base_sizes = sizes.select(F.col("conv_id").alias("base_id"), F.col("n").alias("base_n"))
-    sizes = sizes.join(base_sizes, "base_id", "left").withColumn("taken", F.coalesce(F.least("h", "base_n"), F.lit(0)))
+    sizes = sizes.join(base_sizes, "base_id", "left").withColumn("taken", F.least("h", F.coalesce("base_n", F.lit(0))))
     sizes = saved(sizes.withColumn("n_turns", F.col("taken") + F.greatest(F.col("n") - F.col("h"), F.lit(0))))
     # Each row learns its conversation's figures; a conversation that holds a large share of all rows is broadcast.
     own = looked_up(rows, sizes.select("conv_id", "h", "taken", "n"), ["conv_id"], "n", rows.count())

@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from llm.plain_turns import cheapest_by_states, plain_repair, plain_trie  # noqa: F401
+from plain_turns import cheapest_by_states, plain_repair, plain_trie  # noqa: F401
 from pyspark.sql import types as T
 
 from rosterflow.llm import turns as turns_module
