@@ -20,6 +20,10 @@ from pyspark.sql import functions as F
 from rosterflow.llm.common import col, parts_of, replace_columns, ship, texts_of
 
 SPACE_MARK = "▁"
+
+# Distinct words that are encoded as one text.
+WORDS_AT_ONCE = 64
+
 # Fixed values of the model format: kinds of model and kinds of piece.
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -156,14 +160,12 @@ class PieceCodec:
     the start of a word; then the distinct words of a batch are encoded once. Other texts are encoded whole.
     """
 
-    def __init__(self, path: str, threads: int = 2, most_words: int = 100_000):
+    def __init__(self, path: str, threads: int = 2):
         os.environ.setdefault("RAYON_NUM_THREADS", str(threads))
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "true")
         with open(path, "rb") as file:
             self.model = SentencePieceModel.parse(file.read())
-        self.path, self.most_words = path, most_words
-        self.table: dict[str, bytes] = {}
-        self.odd: set[str] = set()
+        self.path = path
         self.tokenizer = self.model.tokenizer()
         plain = not self.model.charsmap and not self.model.squeeze_spaces
         inner = any(SPACE_MARK in p.lstrip(SPACE_MARK) for p, _, _ in self.model.pieces)
@@ -190,17 +192,37 @@ class PieceCodec:
                     packed[i] = pack(self.library.encode(text))
         return packed
 
-    def of_words(self, words: list[str], verify: bool) -> list[bytes]:
-        """Ids of each distinct word, from a table of bounded size or anew; new words are held against the library."""
-        if len(self.table) > self.most_words:
-            self.table.clear()
-            self.odd.clear()
-        new = [w for w in words if w not in self.table]
-        packed = self.whole(new)
-        self.table.update(zip(new, packed))
-        if verify:
-            self.odd.update(w for w, same in zip(new, self.same_as_library(new, packed)) if not same)
-        return [self.table[w] for w in words]
+    def of_words(self, words: list[str], verify: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All ids of distinct words, one after another, how many each has, and which differ from the library's.
+
+        Words go through both libraries many at a time, with spaces between them, and are told apart in the ids by the
+        piece that holds the mark before each. Where that does not give one run of pieces per word, words go one by one.
+        """
+        ids, lengths, odd = [], [], []
+        for start in range(0, len(words), WORDS_AT_ONCE * 64):
+            groups = [words[i : i + WORDS_AT_ONCE] for i in range(start, min(start + WORDS_AT_ONCE * 64, len(words)), WORDS_AT_ONCE)]
+            joined = [" ".join(g) for g in groups]
+            found = self.whole(joined)
+            same = self.same_as_library(joined, found) if verify else [True] * len(groups)
+            for group, packed, agree in zip(groups, found, same):
+                numbers = np.frombuffer(packed, dtype="<u4")
+                starts = np.flatnonzero(self.begins_word[numbers])
+                if not agree or len(starts) != len(group) or starts[0]:
+                    alone = self.whole(group)
+                    differ = [not s for s in self.same_as_library(group, alone)] if verify else [False] * len(group)
+                    ids.append(np.frombuffer(b"".join(alone), dtype="<u4"))
+                    lengths.append(np.array([len(p) // 4 for p in alone], dtype=np.int64))
+                    odd.append(np.array(differ))
+                    continue
+                ids.append(numbers)
+                lengths.append(np.diff(starts, append=len(numbers)))
+                odd.append(np.zeros(len(group), dtype=bool))
+        return np.concatenate(ids), np.concatenate(lengths), np.concatenate(odd)
+
+    @cached_property
+    def begins_word(self) -> np.ndarray:
+        """For each piece, whether it starts with the space mark."""
+        return np.array([p.startswith(SPACE_MARK) for p, _, _ in self.model.pieces])
 
     def encode(self, texts: list[str], verify: bool = False) -> list[bytes]:
         """Ids of each text, packed little-endian and unsigned with 32 bits; an empty text has none."""
@@ -224,9 +246,8 @@ class PieceCodec:
         if len(split):
             coded = split.flatten().dictionary_encode()
             words = coded.dictionary.to_pylist()
-            ids = self.of_words(words, verify)
-            lengths = np.array([len(i) // 4 for i in ids], dtype=np.int64)
-            pool, offsets = np.frombuffer(b"".join(ids), dtype="<u4"), np.cumsum(lengths) - lengths
+            pool, lengths, odd = self.of_words(words, verify)
+            offsets = np.cumsum(lengths) - lengths
             codes = coded.indices.to_numpy().astype(np.int64)
             n = lengths[codes]
             tops = np.cumsum(n)
@@ -234,29 +255,33 @@ class PieceCodec:
             counts = pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64)
             ends = np.cumsum(counts)
             bytes_before = (4 * tops[ends - 1]).tolist()
-            odd = np.array([w in self.odd for w in words]) if self.odd else np.zeros(len(words), dtype=bool)
             wrong = np.add.reduceat(odd[codes].astype(np.int64), ends - counts)
             parts = iter([(taken[a:b], not w) for a, b, w in zip([0, *bytes_before[:-1]], bytes_before, wrong.tolist())])
         found = [((next(parts) if c else next(rest)) if t else (b"", True)) for c, t in zip(cut, texts)]
         return [p for p, _ in found], [s for _, s in found]
 
     @cached_property
-    def spellings(self) -> list[bytes]:
-        """What each piece adds to a text."""
-        return [
-            bytes([int(p[3:5], 16)]) if kind == BYTE else p.replace(SPACE_MARK, " ").encode() for p, _, kind in self.model.pieces
-        ]
+    def spellings(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """What pieces add to a text, in bytes one after another; where each starts, and how many bytes it has."""
+        spelled = [bytes([int(p[3:5], 16)]) if kind == BYTE else p.replace(SPACE_MARK, " ").encode() for p, _, kind in self.model.pieces]
+        sizes = np.array([len(b) for b in spelled], dtype=np.int64)
+        return np.frombuffer(b"".join(spelled), dtype=np.uint8), np.cumsum(sizes) - sizes, sizes
 
     def decode(self, packed: list[bytes]) -> list[str]:
         """The texts that ids spell; ids whose bytes are no text go through the library, which marks what it can't spell."""
+        pool, starts, sizes = self.spellings
+        numbers = np.frombuffer(b"".join(packed), dtype="<u4")
+        n = sizes[numbers]
+        tops = np.cumsum(n)
+        spelled = pool[np.repeat(starts[numbers] - (tops - n), n) + np.arange(tops[-1] if len(tops) else 0)].tobytes()
+        ends = np.cumsum([len(p) // 4 for p in packed])
+        bytes_before = np.concatenate([[0], tops])[ends].tolist() if packed else []
         out = []
-        for ids in packed:
-            numbers = np.frombuffer(ids, "<u4").tolist()
-            spelled = b"".join([self.spellings[i] for i in numbers])
+        for ids, begin, end in zip(packed, [0, *bytes_before[:-1]], bytes_before):
             try:
-                text = spelled.decode("utf-8")
+                text = spelled[begin:end].decode("utf-8")
             except UnicodeDecodeError:
-                text = self.tokenizer.decode(numbers, skip_special_tokens=False)
+                text = self.tokenizer.decode(np.frombuffer(ids, "<u4").tolist(), skip_special_tokens=False)
             else:
                 text = text[1:] if self.model.dummy_prefix and text[:1] == " " else text
             out.append(text)
