@@ -3,12 +3,22 @@
 from __future__ import annotations
 
 import json
+import re
 
 import numpy as np
 
 # The pattern that byte-level BPE files split texts with before the merges.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+# Runs of white space from this length on go through tokenizers: the search for splits in tiktoken gives up on some longer ones.
+LONG_RUN = 100_000
+
+
+def has_long_run(text: str) -> bool:
+    """Whether white space runs on for ``LONG_RUN`` characters or more; one pass over the text."""
+    return len(text) >= LONG_RUN and any(m.end() - m.start() >= LONG_RUN for m in re.finditer(r"\s{2,}", text))
+
+
 def byte_of_letter() -> dict[str, int]:
     """The byte that each letter of a byte-level vocabulary stands for: printable ones for themselves, others from 256 on."""
     shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
@@ -21,8 +31,8 @@ class Encoder:
 
     The ids come packed, little-endian and unsigned with 32 bits. If the file is plain byte-level
     BPE whose ids follow the order of its merges, its merges run in tiktoken, which gives the same
-    ids several times faster; other files and texts that hold a special token go through
-    tokenizers itself.
+    ids several times faster; other files, and texts that hold a special token or a very long run of white space, go
+    through tokenizers itself.
     """
 
     def __init__(self, path: str):
@@ -60,7 +70,7 @@ class Encoder:
         return tiktoken.Encoding("ranked", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, text: str) -> bytes:
-        if self.fast is None or any(s in text for s in self.specials):
+        if self.fast is None or has_long_run(text) or any(s in text for s in self.specials):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
         return np.array(self.fast.encode_ordinary(text), dtype="<u4").tobytes()
 

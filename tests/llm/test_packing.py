@@ -99,3 +99,9 @@ def test_encoder_gives_the_ids_of_the_library(vocabulary):
         for text in ("", " a  b ", "<|endoftext|> x", "it's\t\tI'll \n\n z", "日本語 é 😀", "a\xa0b   c", "x" * 3000, "12²½ ٣"):
             want = tokenizer.encode(text, add_special_tokens=False).ids
             assert np.frombuffer(encoder(path).encode(text), "<u4").tolist() == want
+
+
+@pytest.mark.parametrize("text", [" " * 2_000_000, "a" + "\n" * 2_000_000 + "b", "word " * 400_000, "x" * 1_000_000])
+def test_very_long_texts_encode_as_in_tokenizers(vocabulary, text):
+    own = encoder(vocabulary("byte_bpe_50k.json"))
+    assert own.encode(text) == np.array(own.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
