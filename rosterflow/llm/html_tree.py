@@ -4,13 +4,19 @@ from __future__ import annotations
 
 import html
 import re
-from collections import Counter
+from bisect import bisect_right
+from collections import Counter, defaultdict
 from dataclasses import dataclass, field
 
+# An attribute: a value in quotes starts right after the equals sign; any other runs to white space or the end of the tag,
+# whatever quotes it holds.
+_NAME = r"[^\s>/=][^\s>/=]*+"
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*)>?", re.S
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)"
+    rf"""((?:[\s/]++|{_NAME}(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+))?|=)*+)>?""",
+    re.S,
 )
-ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+ATTRIBUTE = re.compile(rf"""({_NAME})(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>]*+)))?""")
 
 # Fixed values of the markup language: elements by how they shape text.
 BLOCKS = set(
@@ -19,10 +25,10 @@ BLOCKS = set(
 )
 ENDS_PARAGRAPH = BLOCKS - {"html", "body", "caption", "thead", "tbody", "tfoot", "tr", "td", "th", "dt", "dd", "li", "legend"} | {"hr"}
 RAW = ("script", "style", "title", "textarea", "iframe", "noembed", "noframes", "xmp")
-SKIPPED = set("noscript template svg math select button object canvas audio video datalist map".split())
+SKIPPED = set("noscript template svg select button object canvas audio video datalist map".split())
 # Tags that may stand in a head; others end one whose own end is left out.
 IN_HEAD = set("html head base basefont bgsound link meta title style script noscript template noframes".split())
-BREAKS = {"br", "hr", "wbr", "img", "input"}
+BREAKS = {"br", "hr"}
 # An element that ends open ones of these kinds, up to one of those.
 CLOSES = {
     "li": (("li",), ("ul", "ol", "menu")),
@@ -101,6 +107,8 @@ def parse_page(page: str) -> Tree:
     """
     tree = Tree()
     open_nodes = [tree.add(-1, "#page", {})]
+    # Depths of the open elements of each tag, growing.
+    depths: defaultdict[str, list[int]] = defaultdict(list)
     run: list[tuple[str, bool]] = []
     links = 0
     in_head = unclosed = False
@@ -116,17 +124,15 @@ def parse_page(page: str) -> Tree:
 
     def close_to(depth: int) -> None:
         flush()
+        for node in open_nodes[depth:]:
+            depths[tree.tag[node]].pop()
         del open_nodes[depth:]
 
     def depth_of(tags, stop=()) -> int:
         """Depth of the outermost open element of ``tags`` above the innermost of ``stop``; 0 if there is none."""
-        found = 0
-        for depth in range(len(open_nodes) - 1, 0, -1):
-            if tree.tag[open_nodes[depth]] in stop:
-                break
-            if tree.tag[open_nodes[depth]] in tags:
-                found = depth
-        return found
+        floor = max((depths[t][-1] for t in stop if depths[t]), default=0)
+        above = [depths[t][bisect_right(depths[t], floor)] for t in tags if depths[t] and depths[t][-1] > floor]
+        return min(above, default=0)
 
     at, size = 0, len(page)
     while at < size:
@@ -167,21 +173,19 @@ def parse_page(page: str) -> Tree:
             run.append((" ", False))
         elif tag in BLOCKS:
             if ending:
-                for depth in range(len(open_nodes) - 1, 0, -1):
-                    if tree.tag[open_nodes[depth]] == tag:
-                        close_to(depth)
-                        links = 0
-                        break
-                else:
-                    flush()
+                flush()
+                if depths[tag]:
+                    close_to(depths[tag][-1])
+                    links = 0
                 continue
             if tag in ENDS_PARAGRAPH and (depth := depth_of(("p",), ("td", "th"))):
                 close_to(depth)
             if tag in CLOSES and (depth := depth_of(*CLOSES[tag])):
                 close_to(depth)
             flush()
-            if tag in ("html", "body") and depth_of((tag,)):
+            if tag in ("html", "body") and depths[tag]:
                 continue
+            depths[tag].append(len(open_nodes))
             open_nodes.append(tree.add(open_nodes[-1], tag, attributes_of(match[3])))
     flush()
     return tree

@@ -4,6 +4,7 @@ import html
 import random
 import re
 import struct
+import time
 
 import numpy as np
 import pytest
@@ -200,3 +201,27 @@ def test_pieces_of_odd_documents(odd_docs, no_docs, vocabulary):
 def test_bad_model_files_are_refused():
     with pytest.raises(ValueError, match="supported"):
         SentencePieceModel.parse(piece("x", 0.0, 4))
+
+
+@pytest.mark.parametrize("first", ["<p data-x=don't>", '<p class=a">', '<p title="a > b">', "<p a='x>y' b>", '<p a = "x">', '<p ">', '<p "a=b>'])
+def test_stray_quotes_cost_no_text(first):
+    paragraphs = [f"Paragraph {i} of the article tells a long story, with commas, and ends here." for i in range(3)]
+    last = '<p>It\'s <b>super<wbr>cali</b> fo<img src=x>ur, <math><mi>x</mi></math> is one of them, it "works".</p>'
+    page = "<html><body><article>" + first + "</p><p>".join(paragraphs) + "</p>" + last + "</article></body></html>"
+    assert default_model().main_text(page).split("\n") == [*paragraphs, 'It\'s supercali four, x is one of them, it "works".']
+
+
+def test_deep_pages_take_time_in_proportion():
+    begun = time.process_time()
+    for page in ("<div>" * 30_000 + "<p>x" * 30_000, "<div></section>" * 30_000, '<p a="x ' * 30_000, "<ul><li>" * 30_000 + "<li>" * 30_000):
+        parse_page(page)
+    assert time.process_time() - begun < 30
+
+
+def test_words_of_pieces_that_are_encoded_together(vocabulary):
+    codec = PieceCodec(vocabulary("piece_bpe_32k.model"))
+    texts = ["a b a", "<s> x </s> \u2581", "x" * 5000 + " y", "\u00e9 \u65e5\u672c\u8a9e \U0001f600", "tab\tline\nend", "\x00 \ud7ff", " ".join(f"w{i}" for i in range(3000))]
+    packed, same = codec.encode_and_verify(texts)
+    assert all(same) and packed == [np.array(codec.library.encode(t), dtype="<u4").tobytes() for t in texts]
+    assert codec.decode(packed)[:1] + codec.decode(packed)[2:] == texts[:1] + texts[2:]
+    assert codec.decode([]) == [] and codec.decode([b""]) == [""]
