@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rosterflow.llm.common import col, learnable, parts_of, replace_columns, ship, texts_of
+from rosterflow.llm.common import col, learnable, parts_of, replace_columns, saved, ship, texts_of
 
 UNKNOWN = "und"
 LONGEST = 4
@@ -189,10 +189,15 @@ def fit_language(
         col(id_column).alias("id"), col(text_column).cast("string").alias("t"), col(label_column).cast("string").alias("y")
     ).filter(F.col("t").isNotNull() & F.col("y").isNotNull() & learnable(F.col("id")))
     # Only ids and hashes of texts are sorted; whole texts of the sample alone go to the cutting.
-    picked = known.groupBy("y", F.xxhash64("t").alias("h")).agg(F.min("id").alias("id"))
-    share = max(least_rows, most_rows // max(1, known.select("y").distinct().count()))
+    picked = saved(known.groupBy("y", F.xxhash64("t").alias("h")).agg(F.min("id").alias("id")))
+    counts = picked.groupBy("y").agg(F.count(F.lit(1)).alias("n"))
+    share = max(least_rows, most_rows // max(1, counts.count()))
+    # Only ids whose hash is low enough for their language are put in order: about twice a share of each, however
+    # many rows it has.
+    place = F.xxhash64("id") / F.lit(2.0**64) + 0.5
+    low = picked.join(counts, "y").filter(place <= (2.0 * share + 100) / F.col("n"))
     turn = F.row_number().over(Window.partitionBy("y").orderBy(F.xxhash64("id"), "id", "h"))
-    sample = picked.withColumn("turn", turn).filter(F.col("turn") <= share).drop("turn")
+    sample = low.withColumn("turn", turn).filter(F.col("turn") <= share).select("y", "h", "id")
     rows = (
         known.withColumn("h", F.xxhash64("t"))
         .join(F.broadcast(sample), ["id", "y", "h"])
