@@ -31,12 +31,24 @@ def to_number(text: Column) -> Column:
 def number_key(text: Column) -> Column:
     """One text per number, so that ``1000``, ``+1000.0`` and ``1e3`` compare equal.
 
-    Long identifiers stay exact: digits go through a decimal, and only what no decimal
-    holds (infinities, huge exponents) goes through a double. Null where not a number.
+    Digits are trimmed as text, so identifiers of any length and any number of places stay exact. Only numbers with an
+    exponent go through a double, and from there through their digits where those say the same. Null where
+    not a number.
     """
     bare = F.btrim(text, F.lit(BLANKS))
-    exact = bare.try_cast("decimal(38,10)").cast("string")
-    return F.when(is_numeric_text(text), F.coalesce(exact, bare.try_cast("double").cast("string")))
+    number = bare.try_cast("double")
+    digits = number.try_cast("decimal(38,18)")
+    scaled = F.when(digits.cast("double") == number, _trimmed_digits(digits.cast("string"))).otherwise(number.cast("string"))
+    key = F.when(bare.rlike(r"^[+-]?[\d.]+$"), _trimmed_digits(bare)).otherwise(scaled)
+    return F.when(is_numeric_text(text), key)
+
+
+def _trimmed_digits(number: Column) -> Column:
+    """A plain number without a plus sign and without zeros that do not count; minus zero is zero."""
+    whole = F.regexp_replace(F.regexp_extract(number, r"^[+-]?(\d*)", 1), "^0+", "")
+    fraction = F.regexp_replace(F.regexp_extract(number, r"\.(\d*)$", 1), "0+$", "")
+    size = F.concat(F.when(whole == "", "0").otherwise(whole), F.when(fraction == "", "").otherwise(F.concat(F.lit("."), fraction)))
+    return F.when(number.startswith("-") & (size != "0"), F.concat(F.lit("-"), size)).otherwise(size)
 
 
 def blank_sentinel(text: Column, sentinel: str = NOT_ASSIGNED) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rosterflow.functions.exact import SAFE_DIGITS, fits_bigint, from_text, from_value, is_exact_double
 from rosterflow.functions.names import column, dedup_names, sanitise_name
 from rosterflow.functions.text import is_numeric_text, to_number
 
@@ -104,8 +105,9 @@ def all_strings(df: DataFrame) -> DataFrame:
 def type_text_columns(df: DataFrame) -> DataFrame:
     """Give text columns the type all their values share: whole number, number or text.
 
-    One aggregate over all columns decides. Empty text counts as missing in number columns. A
-    column with a whole number that does not fit a bigint stays text, which keeps every digit.
+    One aggregate over all columns decides. Empty text counts as missing in number columns. A column stays text where a
+    number type would lose a digit: with a whole number that does not fit a bigint, or, among fractions, with a number that is not
+    what its double is written as.
     """
     names = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     if not names:
@@ -114,14 +116,17 @@ def type_text_columns(df: DataFrame) -> DataFrame:
     checks = []
     for i in range(len(names)):
         value = F.col(f"value_{i}")
-        # The pattern comes first because a cast that fails is far dearer than a pattern that fails.
-        whole = value.rlike(r"^[+-]?\d+$")
-        fits = (F.length(value) <= 18) | value.try_cast("bigint").isNotNull()
-        kind = F.when(value == "", None).when(whole, F.when(fits, 0).otherwise(2)).when(is_numeric_text(value), 1)
+        # Patterns and lengths come first because a cast that fails is far dearer.
+        kind = F.when(value == "", None).when(value.rlike(r"^[+-]?\d+$"), F.when(fits_bigint(value), 0).otherwise(2)).when(is_numeric_text(value), 1)
         checks.append(F.max(F.when(value.isNotNull(), kind.otherwise(2))).alias(f"kind_{i}"))
+        loses = is_numeric_text(value) & (F.length(value) > SAFE_DIGITS) & ~F.lower(value).contains("inf") & ~is_exact_double(value)
+        checks.append(F.bool_or(loses).alias(f"loses_{i}"))
     trimmed = df.select([F.btrim(column(name)).alias(f"value_{i}") for i, name in enumerate(names)])
     seen = trimmed.agg(*checks).first()
-    kinds = {name: ("bigint", "double")[kind] for name, kind in zip(names, seen, strict=True) if kind in (0, 1)}
+    kinds = {}
+    for i, name in enumerate(names):
+        if seen[f"kind_{i}"] == 0 or (seen[f"kind_{i}"] == 1 and not seen[f"loses_{i}"]):
+            kinds[name] = ("bigint", "double")[seen[f"kind_{i}"]]
 
     def typed(name: str) -> Column:
         kind = kinds.get(name)
@@ -133,14 +138,17 @@ def type_text_columns(df: DataFrame) -> DataFrame:
     return df.select([typed(c) for c in df.columns])
 
 
-def fit_to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
+def fit_to_schema(df: DataFrame, schema: T.StructType, lossy: Sequence[str] = ()) -> DataFrame:
     """The columns of ``schema``, by name (in any case), with its types.
 
-    Text is converted: dates, times, numbers and truth values as Spark casts them, VARIANT and ARRAY
+    Text is converted: dates, times, numbers and truth values as Spark reads them, VARIANT and ARRAY
     columns from JSON. Blank text is null unless the column is text. A value that does not
-    convert fails the query. Columns that the frame lacks are null; a column that the schema lacks
-    is an error.
+    convert fails the query, and so does one that would change: a fraction in a whole-number column, more places than a
+    NUMERIC has or digits than a FLOAT holds, a time of day in a DATE, a zone in a time without one, a number other than 0 and 1 in a
+    BOOLEAN. Columns named in ``lossy`` are rounded or cut as Spark casts them instead. Columns that
+    the frame lacks are null; a column that the schema lacks is an error.
     """
+    rounded = {c.lower() for c in lossy}
     given: dict[str, str] = {}
     for name in df.columns:
         if name.lower() in given:
@@ -159,15 +167,13 @@ def fit_to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
             return value.alias(wanted.name)
         if isinstance(have, T.StringType):
             value = F.when(F.btrim(value) != "", F.btrim(value))
-        if isinstance(have, T.StringType) and isinstance(wanted.dataType, T.VariantType):
-            converted = F.try_parse_json(value)
-        elif isinstance(have, T.StringType) and isinstance(wanted.dataType, T.ArrayType):
-            converted = F.from_json(value, wanted.dataType)
+            converted, same = from_text(value, wanted.dataType)
         else:
-            converted = value.try_cast(wanted.dataType)
+            converted, same = from_value(value, have, wanted.dataType)
+        kept = converted.isNotNull() if wanted.name.lower() in rounded else converted.isNotNull() & same
         message = F.concat(F.lit(f"column {wanted.name} cannot hold "), F.coalesce(column(name).cast("string"), F.lit("")))
         failed = F.raise_error(message).cast(wanted.dataType)
-        return F.when(value.isNull() | converted.isNotNull(), converted).otherwise(failed).alias(wanted.name)
+        return F.when(value.isNull() | F.coalesce(kept, F.lit(False)), converted).otherwise(failed).alias(wanted.name)
 
     return df.select([fitted(f) for f in schema.fields])
 

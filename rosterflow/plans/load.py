@@ -24,11 +24,12 @@ def append_frame(
     end: int | None = None,
     key: str | None = None,
     force_string: bool = False,
+    lossy: Sequence[str] = (),
 ) -> None:
     """Append to a table by column name, creating it if needed; names are cleaned first.
 
-    An existing table's types count: text is converted to them and a value that does not convert
-    fails the load (see ``fit_to_schema``). Its columns that the frame lacks become null; a column
+    An existing table's types count: values are converted to them, and one that does not convert or would change
+    fails the load, unless its column is named in ``lossy`` (see ``fit_to_schema``). Its columns that the frame lacks become null; a column
     that the table lacks is an error.
 
     ``start`` and ``end`` pick rows by position in the order of ``key``, a unique column, to
@@ -41,7 +42,7 @@ def append_frame(
         df = row_range(df, key, start, end)
     df = clean_columns(all_strings(df) if force_string else df)
     if df.sparkSession.catalog.tableExists(table):
-        df = fit_to_schema(df, df.sparkSession.table(table).schema)
+        df = fit_to_schema(df, df.sparkSession.table(table).schema, lossy)
     df.write.mode("append").saveAsTable(table)
 
 
@@ -55,13 +56,14 @@ def upload_csv(
     start: int = 0,
     end: int | None = None,
     key: str | None = None,
+    lossy: Sequence[str] = (),
 ) -> None:
     """Append delimited files, from any storage Spark reads, to a table.
 
     An existing table gives the types, so the files are read once, as text, and nothing is guessed.
     """
     as_text = force_string or spark.catalog.tableExists(table)
-    append_frame(read_csv(spark, path, sep, encoding, as_text), table, start, end, key)
+    append_frame(read_csv(spark, path, sep, encoding, as_text), table, start, end, key, lossy=lossy)
 
 
 def upload_grid(
@@ -72,10 +74,11 @@ def upload_grid(
     start: int = 0,
     end: int | None = None,
     key: str | None = None,
+    lossy: Sequence[str] = (),
 ) -> None:
     """Append a grid to a table, with its types if it exists, else with guessed ones unless all text is asked for."""
     typed = not force_string and not grid.sparkSession.catalog.tableExists(table)
-    append_frame(grid_to_frame(grid, header_row, typed=typed), table, start, end, key)
+    append_frame(grid_to_frame(grid, header_row, typed=typed), table, start, end, key, lossy=lossy)
 
 
 def publish_report(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from rosterflow.functions.dates import keep_from_date
 from rosterflow.operators.columns import clean_columns, create_table_sql, guess_types, rename_present, type_text_columns
+from rosterflow.operators.ordering import union_by_name
 from rosterflow.plans.load import append_frame, upload_csv, upload_grid
 from rosterflow.registry.base import query, scratch_schema, table, text
 from rosterflow.session import scratch_path, use_java_charsets
@@ -275,3 +276,48 @@ def long_numbers_stay_exact(spark: SparkSession, sf: str) -> DataFrame:
     lines = table(spark, sf, "lineitem")
     long_id = F.concat("l_orderkey", F.lit("0" * 20), "l_linenumber").alias("long_id")
     return type_text_columns(lines.select(long_id, text("l_linenumber").alias("line")))
+
+
+@query(
+    """
+SELECT 'quantity into INTEGER' AS load, count(*) FILTER (l_quantity <> trunc(l_quantity)) > 0 AS refused, count(*) AS held, CAST(sum(l_quantity) AS DOUBLE) AS total FROM lineitem
+UNION ALL SELECT 'price text into NUMERIC(12,2)', count(*) FILTER (l_extendedprice <> round(l_extendedprice, 2)) > 0, count(*), round(sum(l_extendedprice), 2) FROM lineitem
+UNION ALL SELECT 'price into INTEGER', count(*) FILTER (l_extendedprice <> trunc(l_extendedprice)) > 0, 0, NULL FROM lineitem
+UNION ALL SELECT 'price text into NUMERIC(12,1)', count(*) FILTER (l_extendedprice <> round(l_extendedprice, 1)) > 0, 0, NULL FROM lineitem
+UNION ALL SELECT 'price text into INTEGER, lossy', false, count(*), CAST(sum(trunc(l_extendedprice)) AS DOUBLE) FROM lineitem
+UNION ALL SELECT 'day into DATE', count(*) FILTER (o_orderdate <> date_trunc('day', o_orderdate)) > 0, count(*), CAST(sum(year(o_orderdate)) AS DOUBLE) FROM orders
+UNION ALL SELECT 'moment into DATE', count(*) FILTER (ts <> date_trunc('day', ts)) > 0, 0, NULL FROM events
+UNION ALL SELECT 'moment text into DATE', count(*) FILTER (ts <> date_trunc('day', ts)) > 0, 0, NULL FROM events
+UNION ALL SELECT 'line number into BOOLEAN', count(*) FILTER (l_linenumber NOT IN (0, 1)) > 0, 0, NULL FROM lineitem
+"""
+)
+def load_refuses_losses(spark: SparkSession, sf: str) -> DataFrame:
+    """Loads into declared types: which were refused because a value would change, and what the tables hold then."""
+    schema = scratch_schema(spark)
+    lines, orders, events = (table(spark, sf, n) for n in ("lineitem", "orders", "events"))
+    price = F.format_string("%.2f", "l_extendedprice")
+    cases = [
+        ("quantity into INTEGER", lines.select(F.col("l_quantity").alias("v")), "INTEGER", "v", ()),
+        ("price text into NUMERIC(12,2)", lines.select(price.alias("v")), "NUMERIC(12,2)", "v", ()),
+        ("price into INTEGER", lines.select(F.col("l_extendedprice").alias("v")), "INTEGER", "v", ()),
+        ("price text into NUMERIC(12,1)", lines.select(price.alias("v")), "NUMERIC(12,1)", "v", ()),
+        ("price text into INTEGER, lossy", lines.select(price.alias("v")), "INTEGER", "v", ("V",)),
+        ("day into DATE", orders.select(F.col("o_orderdate").alias("v")), "DATE", "year(v)", ()),
+        ("moment into DATE", events.select(F.col("ts").alias("v")), "DATE", "year(v)", ()),
+        ("moment text into DATE", events.select(text("ts").alias("v")), "DATE", "year(v)", ()),
+        ("line number into BOOLEAN", lines.select(F.col("l_linenumber").alias("v")), "BOOLEAN", "int(v)", ()),
+    ]
+    held = []
+    for load, df, kind, figure, lossy in cases:
+        name = f"exact_{uuid.uuid4().hex}"
+        execute(spark, create_table_sql(name, schema, columns={"v": kind}))
+        refused = False
+        try:
+            append_frame(df, f"{schema}.{name}", lossy=lossy)
+        except Exception as error:
+            if "cannot hold" not in str(error):
+                raise
+            refused = True
+        figures = spark.table(f"{schema}.{name}").agg(F.count(F.lit(1)).alias("held"), F.sum(F.expr(figure)).cast("double").alias("total"))
+        held.append(figures.select(F.lit(load).alias("load"), F.lit(refused).alias("refused"), "held", F.round("total", 2).alias("total")))
+    return union_by_name(*held)
