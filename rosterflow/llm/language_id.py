@@ -193,9 +193,9 @@ def fit_language(
     counts = picked.groupBy("y").agg(F.count(F.lit(1)).alias("n"))
     share = max(least_rows, most_rows // max(1, counts.count()))
     # Only ids whose hash is low enough for their language are put in order: about twice a share of each, however
-    # many rows it has.
+    # many rows it has. A count per language is broadcast, as the model itself is.
     place = F.xxhash64("id") / F.lit(2.0**64) + 0.5
-    low = picked.join(counts, "y").filter(place <= (2.0 * share + 100) / F.col("n"))
+    low = picked.join(F.broadcast(counts), "y").filter(place <= (2.0 * share + 100) / F.col("n"))
     turn = F.row_number().over(Window.partitionBy("y").orderBy(F.xxhash64("id"), "id", "h"))
     sample = low.withColumn("turn", turn).filter(F.col("turn") <= share).select("y", "h", "id")
     rows = (
