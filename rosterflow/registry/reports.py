@@ -16,6 +16,7 @@ from rosterflow.functions.names import column
 from rosterflow.functions.text import NOT_APPLICABLE, NOT_ASSIGNED, is_numeric_text, to_number
 from rosterflow.operators.matching import fallback_match, is_newly_listed, split_matches, with_match_flag
 from rosterflow.operators.ordering import sort_rows, union_by_name
+from rosterflow.plans.incremental import refresh_stored, store_report, stored_report
 from rosterflow.plans.load import publish_report, report_grid
 from rosterflow.plans.refresh import ReportSpec, refresh_report, refresh_reports
 from rosterflow.registry.base import query, scratch_schema, table, text
@@ -377,3 +378,26 @@ def match_mixed_key_types(spark: SparkSession, sf: str) -> DataFrame:
     )
     orders = table(spark, sf, "orders").select(F.col("o_custkey").alias("customer"), text("o_orderkey").alias("o_orderkey"))
     return with_match_flag(customers, orders, "customer", "has_order").drop("customer")
+
+
+@query(
+    f"""
+WITH {FRESH}, {PENDING}, {OLD},
+later AS (
+  SELECT customer_id, legacy_id, CASE WHEN customer_id IN ('1', '2', '3') THEN c_name || ' (new)' ELSE c_name END AS c_name, c_mktsegment, c_nationkey
+  FROM fresh WHERE c_name NOT IN (SELECT c_name FROM customer WHERE c_custkey = 4))
+SELECT DISTINCT later.*, coalesce(last_pending, '') AS last_pending, coalesce(pending_orders, '') AS pending_orders
+FROM later LEFT JOIN old ON later.customer_id = old.customer_id AND old.customer_id <> ''
+"""
+)
+def refresh_changed_only(spark: SparkSession, sf: str) -> DataFrame:
+    """A stored report, refreshed when a few customers have changed; only their parts are written again."""
+    report = f"{scratch_schema(spark)}.stored_{uuid.uuid4().hex}"
+    fresh = fresh_customers(spark, sf)
+    old = old_report(spark, sf, pending_urgent(spark, sf), "last_pending", "pending_orders").drop("legacy_id")
+    first = refresh_report(fresh, old, "customer_id", query_columns=QUERY_WIDTH, report_query_columns=QUERY_WIDTH - 1)
+    store_report(first, report, "customer_id", QUERY_WIDTH)
+    gone = table(spark, sf, "customer").filter("c_custkey = 4").select("c_name")
+    renamed = F.when(F.col("customer_id").isin("1", "2", "3"), F.concat("c_name", F.lit(" (new)"))).otherwise(F.col("c_name"))
+    refresh_stored(fresh.join(gone, "c_name", "left_anti").withColumn("c_name", renamed).select(fresh.columns), report)
+    return stored_report(spark, report)
