@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterflow.llm.common import col, free_name, replace_columns, saved, ship, slices, texts_of
+from rosterflow.llm.common import col, free_name, parts_of, replace_columns, saved, ship, slices, texts_of
 from rosterflow.llm.perfect_hash import PerfectHash
 
 SPACES = " \t\n\x0b\x0c\r"
@@ -154,22 +154,23 @@ def drop_shared_lines(
     @F.arrow_udf("struct<text:string,lines:long,gone:long>")
     def cut(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for texts, lists in batches:
-            out, before, lost = [], [], []
-            for text, drop in zip(texts_of(texts), lists.to_pylist()):
-                lines = text.split("\n")
-                before.append(len(lines))
-                if drop:
-                    drop = set(drop)
-                    kept = [x for x in lines if (k := line_key(x, least_chars)) is None or k[0] not in drop]
-                    lost.append(len(lines) - len(kept))
-                    text = "\n".join(kept)
-                else:
-                    lost.append(0)
-                out.append(text)
-            yield pa.StructArray.from_arrays(
-                [pa.array(out, pa.string()), pa.array(before, pa.int64()), pa.array(lost, pa.int64())],
-                ["text", "lines", "gone"],
-            )
+            for start, length in parts_of(texts, 500, 4 << 20):
+                yield cut_part(texts.slice(start, length), lists.slice(start, length))
+
+    def cut_part(texts: pa.Array, lists: pa.Array) -> pa.Array:
+        out, before, lost = [], [], []
+        for text, drop in zip(texts_of(texts), lists.to_pylist()):
+            lines = text.split("\n")
+            before.append(len(lines))
+            if drop:
+                drop = set(drop)
+                kept = [x for x in lines if (k := line_key(x, least_chars)) is None or k[0] not in drop]
+                lost.append(len(lines) - len(kept))
+                text = "\n".join(kept)
+            else:
+                lost.append(0)
+            out.append(text)
+        return pa.StructArray.from_arrays([pa.array(out, pa.string()), pa.array(before, pa.int64()), pa.array(lost, pa.int64())], ["text", "lines", "gone"])
 
     found = cut(col(text_column).cast("string"), F.col(dropped))
     order = [c for c in docs.columns if c.lower() not in ("n_lines", "n_dropped")]
