@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -25,9 +26,13 @@ def append_frame(
     key: str | None = None,
     force_string: bool = False,
     lossy: Sequence[str] = (),
-) -> None:
+    figures: Mapping[str, Column] | None = None,
+) -> dict[str, Any]:
     """Append to a table by column name, creating it if needed; names are cleaned first.
 
+    Returns what the load itself counted, in the tasks that wrote: ``rows``, and one value per aggregate of ``figures``, whose columns
+    are the table's. Nothing is read a second time (``reconcile_load`` holds them against expected ones).
+
     An existing table's types count: values are converted to them, and one that does not convert or would change
     fails the load, unless its column is named in ``lossy`` (see ``fit_to_schema``). Its columns that the frame lacks become null; a column
     that the table lacks is an error.
@@ -43,7 +48,23 @@ def append_frame(
     df = clean_columns(all_strings(df) if force_string else df)
     if df.sparkSession.catalog.tableExists(table):
         df = fit_to_schema(df, df.sparkSession.table(table).schema, lossy)
-    df.write.mode("append").saveAsTable(table)
+    # The aggregates stand right below the write, in its own stage, so a task that is run again counts once.
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows"), *[f.alias(n) for n, f in (figures or {}).items()]).write.mode("append").saveAsTable(table)
+    return seen.get
+
+
+def reconcile_load(spark: SparkSession, table: str, expected: Mapping[str, Any], observed: Mapping[str, Any]) -> DataFrame:
+    """Expected against observed figures of a load, a row per figure: ``table_name``, ``figure``, ``expected``, ``observed``, ``status``.
+
+    ``status`` is ``ok``, ``empty`` (nothing, or nothing but zero, was expected) or ``mismatch``; a figure that only one side has is a mismatch.
+    """
+    rows = []
+    for figure in sorted({*expected, *observed}):
+        want, got = expected.get(figure), observed.get(figure)
+        status = "mismatch" if want != got else "ok" if want else "empty"
+        rows.append((table, figure, None if want is None else str(want), None if got is None else str(got), status))
+    return spark.createDataFrame(rows, "table_name string, figure string, expected string, observed string, status string")
 
 
 def upload_csv(
@@ -57,13 +78,14 @@ def upload_csv(
     end: int | None = None,
     key: str | None = None,
     lossy: Sequence[str] = (),
-) -> None:
+    figures: Mapping[str, Column] | None = None,
+) -> dict[str, Any]:
     """Append delimited files, from any storage Spark reads, to a table.
 
     An existing table gives the types, so the files are read once, as text, and nothing is guessed.
     """
     as_text = force_string or spark.catalog.tableExists(table)
-    append_frame(read_csv(spark, path, sep, encoding, as_text), table, start, end, key, lossy=lossy)
+    return append_frame(read_csv(spark, path, sep, encoding, as_text), table, start, end, key, lossy=lossy, figures=figures)
 
 
 def upload_grid(
@@ -75,10 +97,11 @@ def upload_grid(
     end: int | None = None,
     key: str | None = None,
     lossy: Sequence[str] = (),
-) -> None:
+    figures: Mapping[str, Column] | None = None,
+) -> dict[str, Any]:
     """Append a grid to a table, with its types if it exists, else with guessed ones unless all text is asked for."""
     typed = not force_string and not grid.sparkSession.catalog.tableExists(table)
-    append_frame(grid_to_frame(grid, header_row, typed=typed), table, start, end, key, lossy=lossy)
+    return append_frame(grid_to_frame(grid, header_row, typed=typed), table, start, end, key, lossy=lossy, figures=figures)
 
 
 def publish_report(

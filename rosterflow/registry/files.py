@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from rosterflow.functions.dates import keep_from_date
 from rosterflow.operators.columns import clean_columns, create_table_sql, guess_types, rename_present, type_text_columns
 from rosterflow.operators.ordering import union_by_name
-from rosterflow.plans.load import append_frame, upload_csv, upload_grid
+from rosterflow.plans.load import append_frame, reconcile_load, upload_csv, upload_grid
 from rosterflow.registry.base import query, scratch_schema, table, text
 from rosterflow.session import scratch_path, use_java_charsets
 from rosterflow.sources.delimited import (
@@ -321,3 +321,30 @@ def load_refuses_losses(spark: SparkSession, sf: str) -> DataFrame:
         figures = spark.table(f"{schema}.{name}").agg(F.count(F.lit(1)).alias("held"), F.sum(F.expr(figure)).cast("double").alias("total"))
         held.append(figures.select(F.lit(load).alias("load"), F.lit(refused).alias("refused"), "held", F.round("total", 2).alias("total")))
     return union_by_name(*held)
+
+
+@query(
+    """
+WITH figures AS (
+  SELECT count(*) AS rows, count(*) FILTER (o_orderstatus = 'F') AS finished, count(*) FILTER (o_orderstatus = 'P') AS pending,
+         max(o_orderkey) AS last_key, round(sum(o_totalprice), 2) AS total FROM orders)
+SELECT figure, observed, status FROM (
+  SELECT 'rows' AS figure, CAST(rows AS VARCHAR) AS observed, CASE WHEN rows = 0 THEN 'empty' ELSE 'ok' END AS status FROM figures
+  UNION ALL SELECT 'finished', CAST(finished AS VARCHAR), 'ok' FROM figures
+  UNION ALL SELECT 'pending', CAST(pending AS VARCHAR), 'mismatch' FROM figures
+  UNION ALL SELECT 'last_key', CAST(last_key AS VARCHAR), 'ok' FROM figures
+  UNION ALL SELECT 'stored rows', CAST(rows AS VARCHAR), 'ok' FROM figures)
+"""
+)
+def load_observed_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Figures that a load of orders counted as it wrote, held against a manifest that is wrong in one of them."""
+    target = f"{scratch_schema(spark)}.counted_{uuid.uuid4().hex}"
+    orders = table(spark, sf, "orders")
+    status = F.col("o_orderstatus")
+    figures = {"finished": F.count_if(status == "F"), "pending": F.count_if(status == "P"), "last_key": F.max("o_orderkey")}
+    manifest = orders.agg(F.count(F.lit(1)).alias("rows"), *[f.alias(n) for n, f in figures.items()]).first().asDict()
+    counted = append_frame(orders, target, figures=figures)
+    # What the table holds is counted here only to show that it agrees with the load's own count.
+    stored = spark.table(target).count()
+    expected = {**manifest, "pending": manifest["pending"] + 1, "stored rows": counted["rows"]}
+    return reconcile_load(spark, target, expected, {**counted, "stored rows": stored}).select("figure", "observed", "status")

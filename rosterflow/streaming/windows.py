@@ -17,7 +17,8 @@ class WindowedStream:
     A run first splits what is new, batch by batch: a row whose window had ended ``delay`` before the newest row of earlier
     batches is late and goes to a table of its own; the others go on. Then Spark's own windowed aggregate with the same
     watermark takes them up: its state holds open windows only, and ended ones are evicted. As a row that went on is never
-    behind that watermark, no row is lost: windows and late rows together are all rows.
+    behind that watermark, no row is lost: windows and late rows together are all rows. A row without a moment goes on, but
+    stands in no window.
 
     Below ``folder`` are ``on_time``, ``late``, ``ledger`` (the newest moment of each batch), ``windows`` (each
     window's figures by the batch that changed them) and the checkpoints. Every batch overwrites what an earlier try of it wrote,
@@ -62,15 +63,20 @@ class WindowedStream:
         spark = batch.sparkSession
         newest = self._newest_before(spark, batch_id)
         at = column(self.moment).cast("timestamp")
-        if newest is None:
-            late = F.lit(False)
-        else:
-            late = F.coalesce(F.window(at, self.width)["end"] <= F.timestamp_micros(F.lit(newest)) - F.expr(f"INTERVAL {self.delay}"), F.lit(False))
+        # Windows start at multiples of their width, counted from the epoch.
+        width = F.lit(self._seconds(self.width) * 1_000_000)
+        ends = (F.floor(F.unix_micros(at) / width) + 1) * width
+        bound = None if newest is None else newest - self._seconds(self.delay) * 1_000_000
+        late = F.lit(False) if bound is None else F.coalesce(ends <= bound, F.lit(False))
         batch.filter(~late).write.mode("overwrite").parquet(f"{self.folder}/on_time/batch-{batch_id}")
         batch.filter(late).write.mode("overwrite").parquet(f"{self.folder}/late/batch-{batch_id}")
         moments = batch.agg(F.unix_micros(F.max(at)).alias("newest")).withColumn("batch_id", F.lit(batch_id).cast("long"))
         moments.coalesce(1).write.mode("overwrite").parquet(f"{self.folder}/ledger/batch-{batch_id}")
 
+    def _seconds(self, interval: str) -> int:
+        seconds = F.expr(f"unix_seconds(TIMESTAMP '1970-01-01 00:00:00Z' + INTERVAL {interval})")
+        return self.spark.range(1).select(seconds).first()[0]
+
     def _newest_before(self, spark: SparkSession, batch_id: int) -> int | None:
         if batch_id == 0:
             return None
