@@ -160,16 +160,21 @@ def report_grid(report: DataFrame, row_no: str, headers: DataFrame) -> DataFrame
     without gaps. Only the number of header rows and one count per write task leave the rows' tasks.
     """
     first = headers.agg(F.max("row_no")).first()[0] or 0
+    names = [c for c in report.columns if c != row_no]
+    rows = without_gaps(report, row_no).select(
+        (column(row_no) + first).alias("row_no"), F.array(*[F.coalesce(column(c).cast("string"), F.lit("")) for c in names]).alias("cells")
+    )
+    return headers.select("row_no", "cells").unionByName(rows)
+
+
+def without_gaps(report: DataFrame, row_no: str) -> DataFrame:
+    """A published report with the numbers of ``publish_report`` closed up, from 1; one count per write task is summed up."""
     # The upper bits of a number tell the task that wrote the row, the lower 33 its place there.
-    task = F.shiftright(F.col(row_no) - 1, 33)
+    task = F.shiftright(column(row_no) - 1, 33)
     counts = report.groupBy(task.alias("_task")).agg(F.count(F.lit(1)).alias("_n"))
     before = counts.select(
         "_task", F.sum("_n").over(Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)).alias("_before")
     )
-    place = (F.col(row_no) - 1).bitwiseAND((1 << 33) - 1)
-    names = [c for c in report.columns if c != row_no]
-    rows = report.withColumn("_task", task).join(before, "_task").select(
-        (place + F.coalesce("_before", F.lit(0)) + 1 + first).alias("row_no"),
-        F.array(*[F.coalesce(column(c).cast("string"), F.lit("")) for c in names]).alias("cells"),
-    )
-    return headers.select("row_no", "cells").unionByName(rows)
+    place = (column(row_no) - 1).bitwiseAND((1 << 33) - 1)
+    closed = report.withColumn("_task", task).join(before, "_task").withColumn(row_no, place + F.coalesce("_before", F.lit(0)) + 1)
+    return closed.select([column(c) for c in report.columns])

@@ -31,6 +31,7 @@ from rosterflow.operators.columns import (
     type_text_columns,
 )
 from rosterflow.operators.ordering import distinct_rows, row_range, sort_rows, union_by_name
+from rosterflow.plans.load import publish_report, without_gaps
 from rosterflow.registry.base import query, scratch_schema, table, text
 from rosterflow.session import scratch_path
 from rosterflow.sources.sql import SchemaTables, describe, execute, read_sql, read_sql_file, read_sql_files, read_table
@@ -306,10 +307,12 @@ def row_range_to_end(spark: SparkSession, sf: str) -> DataFrame:
     return row_range(table(spark, sf, "events"), "ts", 5000).select("event_id", "event_type")
 
 
-@query("SELECT c_custkey, c_mktsegment, c_acctbal FROM customer")
+@query("SELECT *, row_number() OVER (ORDER BY c_mktsegment NULLS LAST, c_acctbal DESC NULLS LAST, c_custkey) AS position FROM customer")
 def sort_customers(spark: SparkSession, sf: str) -> DataFrame:
-    customers = table(spark, sf, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
-    return sort_rows(customers, ["c_mktsegment", "c_acctbal"], [True, False])
+    """Customers in the order of a sort, published with the position it gives each."""
+    report = f"{scratch_schema(spark)}.sorted_{uuid.uuid4().hex}"
+    publish_report(sort_rows(table(spark, sf, "customer"), ["c_mktsegment", "c_acctbal", "c_custkey"], [True, False, True]), report, row_no="position")
+    return without_gaps(spark.table(report), "position")
 
 
 @query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 30")
@@ -338,7 +341,8 @@ def union_missing_columns(spark: SparkSession, sf: str) -> DataFrame:
     return union_by_name(customers, suppliers)
 
 
-@query("SELECT DISTINCT l_partkey, l_suppkey, l_returnflag, l_linestatus FROM lineitem")
+@query("SELECT DISTINCT * FROM lineitem")
 def distinct_lines(spark: SparkSession, sf: str) -> DataFrame:
-    lines = table(spark, sf, "lineitem").select("l_partkey", "l_suppkey", "l_returnflag", "l_linestatus")
-    return distinct_rows(lines)
+    """Whole lines once, with copies put in: all lines twice, and those of one flag a third time."""
+    lines = table(spark, sf, "lineitem")
+    return distinct_rows(union_by_name(lines, lines, lines.filter("l_returnflag = 'R'")))

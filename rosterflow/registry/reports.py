@@ -349,9 +349,10 @@ def refresh_three_times(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     f"""
 {THREE_TIMES}, numbered AS (
-  SELECT row_number() OVER (ORDER BY c_name, last_pending, pending_orders) + 1 AS row_no, c_name, last_pending, pending_orders FROM labelled)
-SELECT row_no, c_name, last_pending, pending_orders FROM numbered
-UNION ALL SELECT 1, 'c_name', 'last_pending', 'pending_orders'
+  SELECT row_number() OVER (ORDER BY c_name, last_pending, pending_orders) + 1 AS row_no, * FROM labelled)
+SELECT row_no, customer_id, legacy_id, c_name, c_mktsegment, c_nationkey, last_pending, pending_orders, title, coalesce(c_mktsegment_label, '') AS c_mktsegment_label
+FROM numbered
+UNION ALL SELECT 1, 'customer_id', 'legacy_id', 'c_name', 'c_mktsegment', 'c_nationkey', 'last_pending', 'pending_orders', 'title', 'c_mktsegment_label'
 """
 )
 def refreshed_grid(spark: SparkSession, sf: str) -> DataFrame:
@@ -360,8 +361,7 @@ def refreshed_grid(spark: SparkSession, sf: str) -> DataFrame:
     names = [c for c in published.columns if c != "row_no"]
     headers = spark.createDataFrame([(1, names)], "row_no bigint, cells array<string>")
     grid = report_grid(published, "row_no", headers)
-    cell = {c: F.get("cells", F.lit(names.index(c))).alias(c) for c in ("c_name", "last_pending", "pending_orders")}
-    return grid.select("row_no", *cell.values())
+    return grid.select("row_no", *[F.get("cells", F.lit(i)).alias(c) for i, c in enumerate(names)])
 
 
 @query(
