@@ -145,3 +145,33 @@ def _longest(df: DataFrame, span: tuple[str, str]) -> int:
     """Seconds of the longest span; one number."""
     seconds = [F.unix_micros(column(c).cast("timestamp")) / 1_000_000 for c in span]
     return int((df.agg(F.max(seconds[1] - seconds[0])).first()[0] or 0) + 1) if span[0] != span[1] else 1
+
+
+def with_sessions(df: DataFrame, by: Sequence[str], moment: str, gap_seconds: int, name: str = "session_start", slice_seconds: int = 86_400) -> DataFrame:
+    """``df`` with the moment at which each row's session started: a session of a key ends where more than ``gap_seconds`` pass without a row.
+
+    A key is cut into slices of time, each a window of its own; a slice learns from one row per slice when the key was last
+    seen and when the session that it may continue began. So a hot key is many small windows, and sessions go on over
+    the borders of slices. Rows with a null key or moment are in no session.
+    """
+    own = [f"_by_{i}" for i in range(len(by))]
+    place = [*own, "_slice"]
+    seconds = F.unix_micros(column(moment).cast("timestamp"))
+    rows = df.filter(_known(by, moment)).select(
+        F.struct(*[column(c) for c in df.columns]).alias("_row"), *[column(c).alias(k) for c, k in zip(by, own, strict=True)], column(moment).alias("_at"),
+        seconds.alias("_micros"), F.floor(seconds / 1_000_000 / slice_seconds).alias("_slice"),
+    )
+    order = Window.partitionBy(*place).orderBy("_micros")
+    of_key = Window.partitionBy(*own).orderBy("_slice")
+    rows = rows.withColumn("_before", F.lag("_micros").over(order))
+    seen = rows.groupBy(*place).agg(F.max("_micros").alias("_last"))
+    rows = rows.join(seen.select(*place, F.lag("_last").over(of_key).alias("_seen")), place)
+    before = F.coalesce("_before", "_seen")
+    fresh = before.isNull() | (F.col("_micros") - before > gap_seconds * 1_000_000)
+    rows = rows.withColumn("_start", F.when(fresh, F.struct("_micros", "_at")))
+    so_far = order.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumn("_own", F.max("_start").over(so_far))
+    started = rows.groupBy(*place).agg(F.max("_start").alias("_started"))
+    carried = started.select(*place, F.max("_started").over(of_key.rowsBetween(Window.unboundedPreceding, -1)).alias("_carried"))
+    found = rows.join(carried, place).select("_row.*", F.coalesce("_own", "_carried")["_at"].alias(name))
+    return found.unionByName(df.filter(~_known(by, moment)), allowMissingColumns=True)

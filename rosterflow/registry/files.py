@@ -11,6 +11,7 @@ from rosterflow.functions.dates import keep_from_date
 from rosterflow.operators.columns import clean_columns, create_table_sql, guess_types, rename_present, type_text_columns
 from rosterflow.operators.ordering import union_by_name
 from rosterflow.plans.load import append_frame, reconcile_load, upload_csv, upload_grid
+from rosterflow.plans.sketches import distinct_estimates, store_sketches
 from rosterflow.registry.base import query, scratch_schema, table, text
 from rosterflow.session import scratch_path, use_java_charsets
 from rosterflow.sources.delimited import (
@@ -26,6 +27,7 @@ from rosterflow.sources.delimited import (
 )
 from rosterflow.sources.folder import latest_drop
 from rosterflow.sources.grid import frame_to_grid, grid_to_frame
+from rosterflow.sources.json_columns import json_columns
 from rosterflow.sources.paged_json import read_paged_json
 from rosterflow.sources.sql import execute
 from rosterflow.streaming.landing import land_new_files
@@ -348,3 +350,28 @@ def load_observed_counts(spark: SparkSession, sf: str) -> DataFrame:
     stored = spark.table(target).count()
     expected = {**manifest, "pending": manifest["pending"] + 1, "stored rows": counted["rows"]}
     return reconcile_load(spark, target, expected, {**counted, "stored rows": stored}).select("figure", "observed", "status")
+
+
+@query("SELECT event_id, user_id, event_type, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
+def json_props(spark: SparkSession, sf: str) -> DataFrame:
+    """The properties of events as typed columns, by a schema found in all of them."""
+    return json_columns(table(spark, sf, "events").select("event_id", "user_id", "event_type", "props"), "props")
+
+
+@query(
+    """
+SELECT date_trunc('month', o_orderdate) AS month, count(*) AS n_rows, count(DISTINCT o_custkey) AS customers, true AS within_error FROM orders GROUP BY ALL
+"""
+)
+def distinct_customers_by_month(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers per month from sketches stored per day, beside exact counts; one month's days are loaded twice."""
+    target = f"{scratch_schema(spark)}.sketches_{uuid.uuid4().hex}"
+    orders = table(spark, sf, "orders")
+    store_sketches(orders, target, 1, "o_orderdate", [], "o_custkey")
+    store_sketches(orders.filter("o_orderdate >= '1996-02-01' AND o_orderdate < '1996-03-01'"), target, 2, "o_orderdate", [], "o_custkey")
+    month = F.date_trunc("month", F.col("load_day").cast("timestamp_ntz")).alias("month")
+    estimates = distinct_estimates(spark.table(target), [month])
+    exact = orders.groupBy(F.date_trunc("month", "o_orderdate").alias("month")).agg(F.count_distinct("o_custkey").alias("customers"))
+    # Five per cent is three standard errors of the sketches.
+    close = F.abs(F.col("estimate") - F.col("customers")) <= 0.05 * F.col("customers") + 1
+    return exact.join(estimates, "month").select(F.col("month").cast("timestamp_ntz").alias("month"), "n_rows", "customers", close.alias("within_error"))

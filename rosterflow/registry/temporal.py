@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterflow.operators.temporal import as_of_join, overlap_join
+from rosterflow.operators.temporal import as_of_join, overlap_join, with_sessions
 from rosterflow.registry.base import query, table, text
 
 
@@ -69,3 +69,19 @@ def overlapping_customers(spark: SparkSession, sf: str) -> DataFrame:
         of("BUILDING", "builder"), of("MACHINERY", "maker"), ("builder_first", "builder_last"), ("maker_first", "maker_last"), by=["c_nationkey"], bin_seconds=30 * 86_400
     )
     return pairs.select("c_nationkey", "builder", "maker")
+
+
+@query(
+    """
+WITH marked AS (
+  SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) <= INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS starts FROM events),
+numbered AS (SELECT *, sum(starts) OVER (PARTITION BY user_id ORDER BY ts) AS session FROM marked)
+SELECT user_id, min(ts) AS session_start, max(ts) AS session_end, count(*) AS n_events, round(sum(value), 2) AS total FROM numbered GROUP BY user_id, session
+"""
+)
+def event_sessions(spark: SparkSession, sf: str) -> DataFrame:
+    """Sessions of users, which end after thirty minutes without an event."""
+    rows = with_sessions(table(spark, sf, "events"), ["user_id"], "ts", 30 * 60)
+    return rows.groupBy("user_id", "session_start").agg(
+        F.max("ts").alias("session_end"), F.count(F.lit(1)).alias("n_events"), F.round(F.sum("value"), 2).alias("total")
+    )

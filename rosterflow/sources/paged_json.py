@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rosterflow.functions.names import column
+from rosterflow.sources.json_columns import discover_schema
 
 
 def parsed_type(item_schema: str) -> T.ArrayType:
@@ -30,10 +31,12 @@ def explode_pages(pages: DataFrame, body: str, item_schema: str) -> DataFrame:
 
 
 def read_paged_json(
-    spark: SparkSession, path: str, item_schema: str, page_no: Column | None = None, one_page_per_line: bool = False
+    spark: SparkSession, path: str, item_schema: str | None = None, page_no: Column | None = None, one_page_per_line: bool = False
 ) -> DataFrame:
     """Objects of all pages; order by ``page_no`` and ``item_no`` for page order.
 
+    Without an ``item_schema`` one is found in all pages first, which reads them twice (see ``discover_schema``).
+
     A file is a page, or each line is one. ``page_no`` is an expression over the columns
     ``body`` and ``file_name``; by default the last number in the file name.
     """
@@ -42,4 +45,9 @@ def read_paged_json(
     )
     if page_no is None:
         page_no = F.regexp_extract("file_name", r"(\d+)\D*$", 1).try_cast("bigint")
+    if item_schema is None:
+        found = discover_schema(raw, "body")
+        if not isinstance(found, T.ArrayType) or not isinstance(found.elementType, T.StructType):
+            raise ValueError(f"{path} holds no pages of JSON objects: {found.simpleString()}")
+        item_schema = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in found.elementType.fields)
     return explode_pages(raw.select(page_no.alias("page_no"), "body"), "body", item_schema)
