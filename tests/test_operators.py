@@ -221,6 +221,25 @@ def test_row_range_checks_its_key(spark, monkeypatch):
         row_range(hot, "k", 30)
 
 
+@pytest.mark.parametrize("most", [2_000_000, 3])
+def test_row_range_by_a_sketch(spark, monkeypatch, most):
+    monkeypatch.setattr(ordering, "STEPS", 64)
+    monkeypatch.setattr(ordering, "MOST_KEYS", most)
+    df = spark.range(5000).selectExpr("id * 3 + 9007199254740993 AS k", "cast(id as double) / 7 AS d", "date '2000-01-01' + int(id) AS day", "cast(id as decimal(20,2)) AS m")
+    for key in df.columns:
+        ordered = [r[0] for r in df.select(key).orderBy(key).collect()]
+        for start, end in ((10, 4321), (0, 2500), (2500, 2501), (4999, 9000), (6000, 7000)):
+            assert sorted(r[0] for r in row_range(df, key, start, end).select(key).collect()) == ordered[start:end], (key, start, end)
+
+
+def test_row_range_takes_two_scans(spark, monkeypatch):
+    df = spark.range(3000).selectExpr("id AS k")
+    jobs, real = [], type(df).first
+    monkeypatch.setattr(type(df), "first", lambda self: (jobs.append(1), real(self))[1])
+    monkeypatch.setattr(ordering, "_key_at", lambda *_: pytest.fail("another scan"))
+    assert ordering._keys_at(df, "k", [100, 2000]) == [100, 2000] and len(jobs) == 2
+
+
 def test_row_range_filter_reaches_the_scan(spark, folder):
     spark.range(100).write.parquet(folder + "/t")
     plan = plan_of(row_range(spark.read.parquet(folder + "/t"), "id", 10, 20))
