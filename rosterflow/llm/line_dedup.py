@@ -43,7 +43,7 @@ def line_keys(docs: DataFrame, id_column: str, text_column: str, least_chars: in
     return picked.mapInArrow(keys, "doc long, hi long, lo long")
 
 
-def line_index(frequent: DataFrame, shards: int) -> DataFrame:
+def line_index(counted: DataFrame, shards: int) -> DataFrame:
     """One row per shard of distinct line hashes (hi, lo, n_docs, last_doc): the shard's perfect hash
     over ``lo`` and, at each key's number, its fingerprint ``hi``, its count and its largest document."""
     schema = pa.schema(
@@ -71,7 +71,7 @@ def line_index(frequent: DataFrame, shards: int) -> DataFrame:
             [dict(zip(schema.names, [shard, hashed.to_bytes(), *packed]))], schema=schema
         )
 
-    sharded = frequent.withColumn("shard", F.pmod("hi", F.lit(shards)))
+    sharded = counted.withColumn("shard", F.pmod("hi", F.lit(shards)))
     return sharded.groupBy("shard").applyInArrow(
         build, "shard long, hash binary, prints binary, counts binary, lasts binary, nulls binary"
     )
@@ -133,8 +133,10 @@ def drop_shared_lines(
     documents hold loses all its lines but those of the largest id that holds it. The other lines stay,
     with a line break between them. ``n_lines`` and ``n_dropped`` are new; columns named so are replaced.
 
-    Distinct frequent keys are indexed by minimal perfect hashes, ``shard_keys`` a shard. Documents send
-    128-bit hashes of their keys, never lines, to the arrays of a shard, ``most_probes`` at a time.
+    All distinct keys are indexed by minimal perfect hashes, about ``shard_keys`` a shard, with their counts; the
+    arrays alone decide which keys are shared. Documents send 128-bit hashes of their keys, never lines, to the
+    arrays of a shard, ``most_probes`` at a time. A very long text is cut by itself, in a part of its own; a
+    document has one row per distinct key, spread over the shards, until the list of those it drops.
 
     A null text is one empty line, as an empty one, and comes out empty. Each row counts as a document; rows that share
     an id keep or drop a key together. A null id is smaller than any other. An empty table stays
@@ -142,9 +144,10 @@ def drop_shared_lines(
     """
     keys = saved(line_keys(docs, id_column, text_column, least_chars))
     counted = keys.groupBy("hi", "lo").agg(F.count("*").alias("n_docs"), F.max("doc").alias("last_doc"))
-    frequent = saved(counted.filter(F.col("n_docs") >= least_docs))
-    shards = max(256, -(-frequent.count() // shard_keys))
-    gone = dropped_keys(keys, line_index(frequent, shards), shards, least_docs, most_probes)
+    # An estimate will do: it sets the size of shards only.
+    distinct = keys.agg(F.approx_count_distinct("hi")).first()[0] or 0
+    shards = max(256, -(-distinct // shard_keys))
+    gone = dropped_keys(keys, line_index(counted, shards), shards, least_docs, most_probes)
     per_doc = gone.groupBy("doc").agg(F.collect_list("hi").alias("gone"))
 
     key, dropped = free_name(docs.columns, "dropped_for"), free_name(docs.columns, "dropped_keys")

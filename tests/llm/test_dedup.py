@@ -8,11 +8,12 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from rosterflow.llm.components import connected_components
 from rosterflow.llm.embedding_dedup import near_duplicate_vectors
 from rosterflow.llm.flat_graph import build_graph, medoid, range_search
-from rosterflow.llm.line_dedup import drop_shared_lines
+from rosterflow.llm.line_dedup import drop_shared_lines, line_index, line_key, line_keys
 from rosterflow.llm.minhash_dedup import (
     drop_near_duplicates,
     estimates,
@@ -65,6 +66,24 @@ def test_perfect_hash_refuses_repeated_keys():
         PerfectHash.build(np.array([5, 5], dtype=np.uint64))
 
 
+def test_the_line_index_holds_every_distinct_key_with_its_count(spark):
+    texts = {i: "\n".join(f"line number {j} of many" for j in range(i, i + 7)) for i in range(40)}
+    held = defaultdict(set)
+    for doc, text in texts.items():
+        for line in text.split("\n"):
+            held[line_key(line, 20)].add(doc)
+    keys = line_keys(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), "doc_id", "text", 20)
+    counted = keys.groupBy("hi", "lo").agg(F.count("*").alias("n_docs"), F.max("doc").alias("last_doc"))
+    shards = {x["shard"]: x for x in line_index(counted, 5).collect()}
+    sizes = {s: len(np.frombuffer(x["prints"], np.int64)) for s, x in shards.items()}
+    assert sum(sizes.values()) == len(held) and any(len(d) == 1 for d in held.values())
+    for (hi, lo), docs in held.items():
+        x = shards[hi % 5]
+        at = PerfectHash.from_bytes(x["hash"]).find(np.array([lo], np.int64).view(np.uint64))[0]
+        values = [int(np.frombuffer(x[c], np.int64)[at]) for c in ("prints", "counts", "lasts")]
+        assert values == [hi, len(docs), max(docs)]
+
+
 SPACES = " \t\n\x0b\x0c\r"
 
 
