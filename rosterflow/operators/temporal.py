@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from rosterflow.functions.names import column
 
-# Bins that a span may touch on its own level; a level's bins are as many times wider than those of the level below.
+# A level's cells are as many times wider than those of the level below; a power of two, so that numbers divide exactly.
 FANOUT = 8
+# Parts into which the spans of a cell are dealt where both sides are spans; a start is copied as often.
+DEAL = 4
 
 
 def as_of_join(
@@ -101,50 +103,80 @@ def overlap_join(
     ``by`` names columns that must be equal too. Columns of both sides come out, the keys once; the sides share no other names.
     Spans with a null end or that end before they start pair with nothing.
 
-    Rows meet in bins of time, by an equi-join. A span's level is the first on which it touches at most ``FANOUT`` bins; it is
-    put into the bins of its level and of every level above, where it touches few, so that neither long spans
-    nor short ones are copied often. A pair is taken on the higher of its two levels, in the bin of the later start,
-    and nowhere else. ``bin_seconds`` should be about the length of most spans.
+    Rows meet in cells of time, by an equi-join. Of two spans that overlap, the later one starts within the other, so a pair is a
+    start that a span holds: right starts in left spans, and left starts, if later, in right spans. A span is put into the
+    widest cells that make it up, level by level, a start into its one cell of every level; so a pair meets once, and only
+    starts near the ends of a span are tried in vain. Where both sides are spans, a cell may have many rows on either side: its spans
+    are dealt into ``DEAL`` parts, and the sides are merged, as a hash table of so many rows per key is slow. ``bin_seconds``, the width of the smallest cells, should be a small part of
+    most spans or about the distance of starts.
     """
     shared = sorted((set(left.columns) & set(right.columns)) - set(by))
     if shared:
         raise ValueError(f"both sides have columns: {', '.join(shared)}")
-    longest = [_longest(df, span) for df, span in ((left, left_span), (right, right_span))]
+    longest = _longest([(left, left_span), (right, right_span)])
     top = 0
-    while bin_seconds * FANOUT**top * (FANOUT - 1) < max(longest):
+    while bin_seconds * FANOUT**top * (FANOUT - 1) < longest:
         top += 1
+    # Which side's spans hold the other one's starts: 0 the left side's, 1 the right side's. A moment holds nothing but its equal.
+    holders = [1] if left_span[0] == left_span[1] else [0] if right_span[0] == right_span[1] else [0, 1]
 
-    def binned(df: DataFrame, span: tuple[str, str], mark: str) -> DataFrame:
-        start, end = (F.unix_micros(column(c).cast("timestamp")) for c in span)
-        widths = [bin_seconds * 1_000_000 * FANOUT**i for i in range(top + 1)]
-        level = F.lit(top)
-        for i in range(top - 1, -1, -1):
-            level = F.when(end - start <= widths[i] * (FANOUT - 1), i).otherwise(level)
-        none = F.array().cast("array<struct<level:int,bin:bigint>>")
-
-        def on_level(i: int, width: int) -> Column:
-            touched = F.sequence(F.floor(start / width), F.floor(end / width))
-            return F.when(F.lit(i) >= level, F.transform(touched, lambda b: F.struct(F.lit(i).alias("level"), b.alias("bin")))).otherwise(none)
+    meet = ["_cell", "_part"] if len(holders) > 1 else ["_cell"]
 
-        bins = F.concat(*[on_level(i, w) for i, w in enumerate(widths)])
+    def placed(df: DataFrame, span: tuple[str, str], side: int) -> DataFrame:
+        start, end = (F.unix_micros(column(c).cast("timestamp")) for c in span)
         sound = df.filter(column(span[0]).isNotNull() & column(span[1]).isNotNull() & (start <= end))
-        kept = sound.select("*", start.alias(f"_start_{mark}"), end.alias(f"_end_{mark}"), level.alias(f"_level_{mark}"), F.explode(bins).alias("_b"))
-        return kept.withColumns({"_level": F.col("_b.level"), "_bin": F.col("_b.bin")}).drop("_b")
-
-    pairs = binned(left, left_span, "l").join(binned(right, right_span, "r"), [*by, "_level", "_bin"])
-    later = F.greatest("_start_l", "_start_r")
-    width = F.element_at(F.array(*[F.lit(bin_seconds * 1_000_000 * FANOUT**i) for i in range(top + 1)]), F.col("_level") + 1)
-    taken = (
-        (F.col("_start_l") <= F.col("_end_r")) & (F.col("_start_r") <= F.col("_end_l"))
-        & (F.col("_level") == F.greatest("_level_l", "_level_r")) & (F.col("_bin") == F.floor(later / width))
-    )
+        smallest = [F.floor(m / (bin_seconds * 1_000_000)).alias(n) for m, n in ((start, "_from"), (end, "_to"))]
+        cells = F.concat(*[_cells(h, i, top, held=h != side) for h in holders for i in range(top + 1)])
+        found = sound.select("*", start.alias("_start"), end.alias("_end"), *smallest).select("*", F.explode(cells).alias("_cell"))
+        if len(holders) > 1:
+            one = F.array(F.pmod(F.xxhash64(*[column(c) for c in df.columns]), F.lit(DEAL)).cast("int"))
+            parts = F.when(F.pmod("_cell", F.lit(2)) == side, one).otherwise(F.array(*[F.lit(i) for i in range(DEAL)]))
+            found = found.select("*", F.explode(parts).alias("_part"))
+        # What is held is a moment, and a span of the right side does not hold its own start where left spans do.
+        holds = F.pmod("_cell", F.lit(2)) == side
+        low = F.col("_start") + F.when(holds, len(holders) - 1).otherwise(0) if side else F.col("_start")
+        high = F.when(holds, F.col("_end")).otherwise(F.col("_start"))
+        return found.select(*[column(c) for c in df.columns], *meet, low.alias(f"_low_{side}"), high.alias(f"_high_{side}"))
+
+    partners = placed(right, right_span, 1)
+    pairs = placed(left, left_span, 0).join(partners.hint("merge") if len(holders) > 1 else partners, [*by, *meet])
+    taken = (F.col("_low_0") <= F.col("_high_1")) & (F.col("_low_1") <= F.col("_high_0"))
     return pairs.filter(taken).select(*[column(c) for c in left.columns], *[column(c) for c in right.columns if c not in by])
 
 
-def _longest(df: DataFrame, span: tuple[str, str]) -> int:
-    """Seconds of the longest span; one number."""
-    seconds = [F.unix_micros(column(c).cast("timestamp")) / 1_000_000 for c in span]
-    return int((df.agg(F.max(seconds[1] - seconds[0])).first()[0] or 0) + 1) if span[0] != span[1] else 1
+def _cells(holder: int, level: int, top: int, held: bool) -> Column:
+    """Numbers of a row's cells on a level: the one of its start if ``held``, else those of its span that no wider cell takes.
+
+    ``_from`` and ``_to`` are the smallest cells of start and end. A number tells cell, level and holder.
+    """
+
+    def border(name: str, i: int) -> Column:
+        # First whole cell and the one after the last.
+        return F.ceil(F.col("_from") / FANOUT**i) if name == "_from" else F.floor((F.col("_to") + 1) / FANOUT**i)
+
+    def between(first: Column, after: Column) -> Column:
+        return F.when(first < after, F.sequence(first, after - 1)).otherwise(F.array().cast("array<bigint>"))
+
+    if held:
+        found = F.array(F.floor(F.col("_from") / FANOUT**level))
+    else:
+        first, after = border("_from", level), border("_to", level)
+        found = between(first, after)
+        if level < top:
+            wider = border("_from", level + 1), border("_to", level + 1)
+            found = F.when(wider[0] < wider[1], F.concat(between(first, wider[0] * FANOUT), between(wider[1] * FANOUT, after))).otherwise(found)
+    return F.transform(found, lambda cell: (cell * (top + 1) + level) * 2 + holder)
+
+
+def _longest(spans: Sequence[tuple[DataFrame, tuple[str, str]]]) -> int:
+    """Seconds of the longest span, by one job; one number."""
+    lengths = [
+        df.select((F.unix_micros(column(span[1]).cast("timestamp")) - F.unix_micros(column(span[0]).cast("timestamp"))).alias("micros"))
+        for df, span in spans
+        if span[0] != span[1]
+    ]
+    micros = reduce(DataFrame.unionAll, lengths).agg(F.max("micros")).first()[0] if lengths else None
+    return int((micros or 0) / 1_000_000 + 1)
 
 
 def with_sessions(df: DataFrame, by: Sequence[str], moment: str, gap_seconds: int, name: str = "session_start", slice_seconds: int = 86_400) -> DataFrame:
