@@ -90,7 +90,9 @@ def fallback_match(
     First each row learns which of its keys exists, from the distinct keys of the right side.
     Then one inner join fetches the partners under that key, with blank partners for the rows
     that have none. So the left side is never branched and read again, rows without a key or
-    partner are spread evenly, and a hot key can be split on either side of the join.
+    partner are spread evenly, and a hot key can be split on either side of the join. The joins
+    are merged (a hint): Spark takes the size of the keys from that of the right side's files, which may be
+    a small part of it, and would hold all of them in the memory of every task, once per key.
     """
     extra = [c for c in right.columns if c not in left.columns]
     slots = range(len(keys))
@@ -116,7 +118,7 @@ def fallback_match(
             .join(
                 known.select(
                     F.col("_slot").alias("_try_slot"), F.col("_key").alias("_try_key"), F.lit(True).alias(f"_hit_{i}")
-                ),
+                ).hint("merge"),
                 ["_try_slot", "_try_key"],
                 "left",
             )
@@ -135,6 +137,6 @@ def fallback_match(
     return (
         seen.withColumn("_slot", slot)
         .withColumn("_key", key)
-        .join(partners, ["_slot", "_key"])
+        .join(partners.hint("merge"), ["_slot", "_key"])
         .select(*[column(c) for c in [*left.columns, *extra]], *label)
     )

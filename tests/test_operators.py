@@ -67,6 +67,18 @@ def test_split_matches(spark, rows):
     assert rows(unmatched) == sorted([(2, "c"), (None, "d")], key=repr)
 
 
+def test_fallback_match_holds_no_side_whole(spark, folder):
+    """The files of the right side are smaller than the size below which Spark broadcasts; its keys are not held by every task all the same."""
+    spark.range(200_000).selectExpr("id AS k", "id + 7 AS j", "'same' AS w").write.parquet(folder + "/right")
+    left = spark.range(300_000).selectExpr("CASE WHEN id % 3 > 0 THEN id END AS k", "id AS j", "id AS v")
+    found = fallback_match(left, spark.read.parquet(folder + "/right"), ["k", "j"], "on")
+    assert "Broadcast" not in plan_of(found)
+    got = found.groupBy("on").agg(F.count(F.lit(1)).alias("n")).collect()
+    by_key = sum(1 for i in range(200_000) if i % 3)
+    by_next = sum(1 for i in range(7, 200_007) if not (i % 3 and i < 200_000))
+    assert {r["on"]: r["n"] for r in got} == {"k": by_key, "j": by_next, None: 300_000 - by_key - by_next}
+
+
 @pytest.mark.parametrize("broadcast", [True, False])
 def test_fallback_match_against_brute_force(spark, rows, broadcast):
     pick = random.Random(3)
