@@ -12,8 +12,10 @@ from rosterflow.functions.names import column
 
 # A level's cells are as many times wider than those of the level below; a power of two, so that numbers divide exactly.
 FANOUT = 8
-# Parts into which the spans of a cell are dealt where both sides are spans; a start is copied as often.
-DEAL = 4
+# Left and right rows of a cell that are paired at a time, where both sides are spans; a cell with more is dealt into parts.
+BLOCKS = (65_536, 256)
+# Counts of cells with more rows than that are broadcast up to so many cells.
+MOST_COUNTS = 100_000
 
 
 def as_of_join(
@@ -106,8 +108,10 @@ def overlap_join(
     Rows meet in cells of time, by an equi-join. Of two spans that overlap, the later one starts within the other, so a pair is a
     start that a span holds: right starts in left spans, and left starts, if later, in right spans. A span is put into the
     widest cells that make it up, level by level, a start into its one cell of every level; so a pair meets once, and only
-    starts near the ends of a span are tried in vain. Where both sides are spans, a cell may have many rows on either side: its spans
-    are dealt into ``DEAL`` parts, and the sides are merged, as a hash table of so many rows per key is slow. ``bin_seconds``, the width of the smallest cells, should be a small part of
+    starts near the ends of a span are tried in vain. Where both sides are spans, a cell may have many rows on either side: they are
+    dealt into parts of about ``BLOCKS`` rows, so that a full cell is the work of many tasks, and the sides are merged, as a hash
+    table of so many rows per key is slow. Pairs come out as one left row after the other with the same few right rows, which
+    columnar files store in a fraction of a byte a pair. ``bin_seconds``, the width of the smallest cells, should be a small part of
     most spans or about the distance of starts.
     """
     shared = sorted((set(left.columns) & set(right.columns)) - set(by))
@@ -120,26 +124,25 @@ def overlap_join(
     # Which side's spans hold the other one's starts: 0 the left side's, 1 the right side's. A moment holds nothing but its equal.
     holders = [1] if left_span[0] == left_span[1] else [0] if right_span[0] == right_span[1] else [0, 1]
 
-    meet = ["_cell", "_part"] if len(holders) > 1 else ["_cell"]
-
     def placed(df: DataFrame, span: tuple[str, str], side: int) -> DataFrame:
         start, end = (F.unix_micros(column(c).cast("timestamp")) for c in span)
         sound = df.filter(column(span[0]).isNotNull() & column(span[1]).isNotNull() & (start <= end))
         smallest = [F.floor(m / (bin_seconds * 1_000_000)).alias(n) for m, n in ((start, "_from"), (end, "_to"))]
         cells = F.concat(*[_cells(h, i, top, held=h != side) for h in holders for i in range(top + 1)])
         found = sound.select("*", start.alias("_start"), end.alias("_end"), *smallest).select("*", F.explode(cells).alias("_cell"))
-        if len(holders) > 1:
-            one = F.array(F.pmod(F.xxhash64(*[column(c) for c in df.columns]), F.lit(DEAL)).cast("int"))
-            parts = F.when(F.pmod("_cell", F.lit(2)) == side, one).otherwise(F.array(*[F.lit(i) for i in range(DEAL)]))
-            found = found.select("*", F.explode(parts).alias("_part"))
         # What is held is a moment, and a span of the right side does not hold its own start where left spans do.
         holds = F.pmod("_cell", F.lit(2)) == side
         low = F.col("_start") + F.when(holds, len(holders) - 1).otherwise(0) if side else F.col("_start")
         high = F.when(holds, F.col("_end")).otherwise(F.col("_start"))
-        return found.select(*[column(c) for c in df.columns], *meet, low.alias(f"_low_{side}"), high.alias(f"_high_{side}"))
-
-    partners = placed(right, right_span, 1)
-    pairs = placed(left, left_span, 0).join(partners.hint("merge") if len(holders) > 1 else partners, [*by, *meet])
+        return found.select(*[column(c) for c in df.columns], "_cell", low.alias(f"_low_{side}"), high.alias(f"_high_{side}"))
+
+    rows, partners, meet = placed(left, left_span, 0), placed(right, right_span, 1), [*by, "_cell"]
+    if len(holders) > 1:
+        # Keys of two types are compared by the join alone.
+        if all(left.schema[c].dataType == right.schema[c].dataType for c in by):
+            rows, partners, meet = _dealt(rows, partners, meet)
+        partners = partners.hint("merge")
+    pairs = rows.join(partners, meet)
     taken = (F.col("_low_0") <= F.col("_high_1")) & (F.col("_low_1") <= F.col("_high_0"))
     return pairs.filter(taken).select(*[column(c) for c in left.columns], *[column(c) for c in right.columns if c not in by])
 
@@ -168,6 +171,30 @@ def _cells(holder: int, level: int, top: int, held: bool) -> Column:
     return F.transform(found, lambda cell: (cell * (top + 1) + level) * 2 + holder)
 
 
+def _dealt(left: DataFrame, right: DataFrame, cell: Sequence[str]) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides and the names on which they meet: a row goes into one part of its cell, by a hash, and meets each part of the other side's rows.
+
+    Cells with no more than ``BLOCKS`` rows stay whole. One job counts the others, of which there is one for every 256 rows at most.
+    """
+    keys = [column(c) for c in cell]
+    sides = [df.select(*keys, *[F.lit(int(i == side)).alias(f"_rows_{i}") for i in (0, 1)]) for side, df in enumerate((left, right))]
+    parts = [F.ceil(F.sum(f"_rows_{i}") / most).cast("int").alias(f"_parts_{i}") for i, most in enumerate(BLOCKS)]
+    full = sides[0].unionAll(sides[1]).groupBy(*keys).agg(*parts).filter("_parts_0 > 1 OR _parts_1 > 1")
+    found = full.count()
+    if not found:
+        return left, right, [*cell]
+    if found <= MOST_COUNTS:
+        full = F.broadcast(full)
+
+    def dealt(df: DataFrame, side: int) -> DataFrame:
+        n = [F.greatest(F.lit(1), f"_parts_{i}") for i in (0, 1)]
+        own = F.pmod(F.xxhash64(*[column(c) for c in df.columns]), n[side]).cast("int").alias(f"_part_{side}")
+        others = F.explode(F.sequence(F.lit(0), n[1 - side] - 1)).alias(f"_part_{1 - side}")
+        return df.join(full, [*cell], "left").select(*[column(c) for c in df.columns], own, others)
+
+    return dealt(left, 0), dealt(right, 1), [*cell, "_part_0", "_part_1"]
+
+
 def _longest(spans: Sequence[tuple[DataFrame, tuple[str, str]]]) -> int:
     """Seconds of the longest span, by one job; one number."""
     lengths = [

@@ -2,10 +2,12 @@
 
 import datetime as dt
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from rosterflow.operators import temporal
 from rosterflow.operators.temporal import as_of_join, overlap_join
 from rosterflow.plans.load import append_frame, reconcile_load
 from rosterflow.streaming.newest import NewestRows
@@ -158,3 +160,59 @@ def test_overlapping_spans_meet_once(spark):
     keys = [c for c in ("_cell", "_part", "_level", "_bin") if c in left.columns]
     tried = left.groupBy(*keys).count().join(right.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), keys).agg(F.sum(F.col("count") * F.col("n"))).first()[0]
     assert tried < 1.5 * pairs
+
+
+def test_full_cells_are_dealt(spark, folder):
+    """However many rows a cell has, few right rows meet under one key, and written pairs take a fraction of a byte."""
+
+    def made(mark, n):
+        r = random.Random(n)
+        rows = [(i * 7919 % 100_003, START + dt.timedelta(days=r.randrange(20)), START + dt.timedelta(days=2000 + r.randrange(300))) for i in range(n)]
+        return spark.createDataFrame(rows, f"{mark} long, {mark}_from timestamp_ntz, {mark}_to timestamp_ntz")
+
+    found = overlap_join(made("a", 500), made("b", 6000), ("a_from", "a_to"), ("b_from", "b_to"), bin_seconds=30 * 86_400).select("a", "b")
+    found.write.parquet(f"{folder}/pairs")
+    written = spark.read.parquet(f"{folder}/pairs")
+    assert written.count() == written.distinct().count() == 500 * 6000
+    assert sum(p.stat().st_size for p in Path(folder, "pairs").glob("*.parquet")) < 500 * 6000 * 0.5
+
+    def join(node):
+        return node if node.nodeName() == "Join" else join(node.children().apply(0))
+
+    plan = join(found._jdf.queryExecution().optimizedPlan())
+    assert plan.joinType().toString() == "Inner"
+    right = type(found)(spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(spark._jsparkSession, plan.right()), spark)
+    keys = [c for c in right.columns if c.startswith(("_cell", "_part"))]
+    assert right.groupBy(*keys).count().agg(F.max("count")).first()[0] < 400
+
+
+@pytest.mark.parametrize("blocks", [(5, 3), (1000, 3), (5, 1000), (1000, 1000)])
+@pytest.mark.parametrize("most", [0, 100_000])
+def test_dealt_cells_lose_and_repeat_nothing(spark, monkeypatch, blocks, most):
+    monkeypatch.setattr(temporal, "BLOCKS", blocks)
+    monkeypatch.setattr(temporal, "MOST_COUNTS", most)
+    r = random.Random(blocks[0] + most)
+
+    def made(mark):
+        rows = [(i // 2, r.choice(["a", "a", "a", "b", None]), moment(r, 3000), r.choice([0, 40, 900, 3000, -5])) for i in range(120)]
+        rows = [(i, k, r.choice([at] * 9 + [None]), at + dt.timedelta(seconds=s)) for i, k, at, s in rows]
+        return rows, spark.createDataFrame(rows + rows[:9], f"{mark} long, `by key` string, {mark}_from timestamp_ntz, {mark}_to timestamp_ntz")
+
+    (x, left), (y, right) = made("a"), made("b")
+    found = overlap_join(left, right, ("a_from", "a_to"), ("b_from", "b_to"), ["by key"], 50)
+    want = [
+        (a[0], a[1], b[0]) for a in x + x[:9] for b in y + y[:9]
+        if a[1] and a[1] == b[1] and a[2] and b[2] and a[2] <= a[3] and b[2] <= b[3] and a[2] <= b[3] and b[2] <= a[3]
+    ]
+    assert sorted(map(tuple, found.select("a", "by key", "b").collect())) == sorted(want)
+
+
+def test_keys_of_two_types_meet(spark, monkeypatch):
+    monkeypatch.setattr(temporal, "BLOCKS", (2, 2))
+    a, b = (
+        spark.range(20).select(
+            F.col("id").alias(mark), (F.col("id") % 2).cast(kind).alias("k"), F.lit(START).alias(f"{mark}_from"), F.lit(START + dt.timedelta(9)).alias(f"{mark}_to")
+        )
+        for mark, kind in (("a", "int"), ("b", "bigint"))
+    )
+    assert overlap_join(a, b, ("a_from", "a_to"), ("b_from", "b_to"), ["k"]).count() == 200
